@@ -64,7 +64,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, LoadReport]:
 
 def parsed(spark: SparkSession, sf_dir: str) -> I.Parsed:
     wh, report = warehouse(spark, sf_dir)
-    return I.Parsed(rows=wh.staged_rows(report), rejects=wh.staged_rejects(report))
+    return wh.staged(report)
 
 
 def star(spark: SparkSession, sf_dir: str) -> I.Star:

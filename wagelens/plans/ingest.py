@@ -52,14 +52,22 @@ class Parsed:
     rejects: DataFrame   # code, series_pos, nombre, data_pos, anyo, fk_periodo, reason
 
 
-def parse(obs: DataFrame, raise_on_reject: bool = False) -> Parsed:
-    """Route, parse series names and map periods; rejects instead of aborting.
+ROW_COLUMNS = [
+    "code", "series_pos", "nombre", "data_pos", "anyo", "fk_periodo", "valor", "family", "target", "indicador",
+    "unidad", "n_parts", *[f"meta_{f}" for f in C.META_FIELDS], "has_datum", "series_ord", "ord", "fecha_iso",
+    "mes", "trimestre", "geografia", "categoria_gasto", "sexo", "sector_cnae", "ocupacion_cno11", "grupo_edad",
+    "tipo_jornada", "tipo_contrato",
+]
+
+
+def annotate(obs: DataFrame) -> DataFrame:
+    """Every payload row with its parsed columns and reject reasons (one pass).
 
     Reject reasons: ``unknown_code`` (no registry entry), ``short_name`` (fewer
     name parts than the layout needs; the reference raises and stops),
     ``position_overflow`` (series or datum position beyond the packed
     ordinal), ``null_year`` / ``bad_year`` (datum only; the reference aborts
-    the run).  ``raise_on_reject=True`` turns any reject into an error.
+    the run).
     """
     spark = obs.sparkSession
     reg = F.broadcast(registry(spark))  # fixed 7 rows
@@ -76,23 +84,13 @@ def parse(obs: DataFrame, raise_on_reject: bool = False) -> Parsed:
         .when((F.col("anyo") < 1) | (F.col("anyo") > 9999), F.lit("bad_year"))
     )
     x = x.withColumn("series_reason", series_reason).withColumn("datum_reason", datum_reason)
-    rejects = (
-        x.filter(F.col("series_reason").isNotNull() | F.col("datum_reason").isNotNull())
-        .select("code", "series_pos", "nombre", "data_pos", "anyo", "fk_periodo",
-                F.coalesce("series_reason", "datum_reason").alias("reason"))
-    )
-    if raise_on_reject:
-        first = rejects.first()
-        if first is not None:
-            raise ValueError(f"payload rejected: {first.asDict()}")
-
-    ok = x.filter(F.col("series_reason").isNull())
     meta = {f: F.get(F.col("parts"), F.col(f"pos_{f}")) for f in C.META_FIELDS}
     fam = F.col("family")
     wages, prices, employment = fam == C.WAGES, fam == C.PRICES, fam == C.EMPLOYMENT
     ocupacion = F.coalesce(meta["ocupacion"], F.lit(C.DEFAULT_OCCUPATION))
-    has_datum = F.col("data_pos").isNotNull() & F.col("datum_reason").isNull()
-    rows = ok.select(
+    has_datum = (F.col("series_reason").isNull() & F.col("data_pos").isNotNull()
+                 & F.col("datum_reason").isNull())
+    return x.select(
         "code", "series_pos", "nombre", "data_pos", "anyo", "fk_periodo", "valor",
         "family", "target", F.col("reg_indicador").alias("indicador"), F.col("reg_unidad").alias("unidad"),
         F.size("parts").alias("n_parts"),
@@ -114,10 +112,37 @@ def parse(obs: DataFrame, raise_on_reject: bool = False) -> Parsed:
         F.when(employment, meta["grupo_edad"]).alias("grupo_edad"),
         F.when(employment, meta["tipo_jornada"]).alias("tipo_jornada"),
         F.when(employment, meta["tipo_contrato"]).alias("tipo_contrato"),
+        "series_reason", "datum_reason",
     )
+
+
+def split(annotated: DataFrame) -> Parsed:
+    """Accepted rows (series not rejected) and reject rows of an annotated payload."""
+    rows = annotated.where(F.col("series_reason").isNull()).select(*ROW_COLUMNS)
+    rejects = (annotated.where(F.col("series_reason").isNotNull() | F.col("datum_reason").isNotNull())
+               .select("code", "series_pos", "nombre", "data_pos", "anyo", "fk_periodo",
+                       F.coalesce("series_reason", "datum_reason").alias("reason")))
     return Parsed(rows=rows, rejects=rejects)
 
 
+def parse(obs: DataFrame, raise_on_reject: bool = False) -> Parsed:
+    """Route, parse series names and map periods; rejects instead of aborting.
+
+    ``raise_on_reject=True`` turns any reject into an error, as the reference
+    stops on a short name or a missing year.
+    """
+    parsed = split(annotate(obs))
+    if raise_on_reject:
+        check_rejects(parsed.rejects)
+    return parsed
+
+
+def check_rejects(rejects: DataFrame) -> None:
+    first = rejects.first()
+    if first is not None:
+        raise ValueError(f"payload rejected: {first.asDict()}")
+
+
 @dataclass
 class Star:
     periodo: DataFrame

@@ -43,6 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagelens import constants as C
+from wagelens.operators.joins import join_checked, join_fixed
 
 # --------------------------------------------------------------------------
 # FIXED VALUES of the shaping (labels of the derived series)
@@ -92,11 +93,6 @@ def _map_index(c: Column, keys: list) -> Column:
     return expr.otherwise(F.lit(len(keys)))
 
 
-def _sex(key: Column) -> tuple[Column, Column]:
-    idx = F.pmod(key, F.lit(3))
-    return idx, _map_label(idx, dict(enumerate(SEXES)), SEXES[-1])
-
-
 def _geography(nationkey: Column, n_name: Column, national: str) -> Column:
     """Nation 0 -> national label; 1..19 -> region names; others keep the driver name."""
     expr = F.when(nationkey == 0, F.lit(national))
@@ -115,118 +111,164 @@ def _quarters(mean: Column) -> Column:
     return F.round(mean * VALUE_STEPS, 0) / VALUE_STEPS
 
 
-def _payload(rows: DataFrame, value: Column) -> DataFrame:
-    """One datum per (code, series, period): value aggregated over driver rows."""
-    return (
-        rows.groupBy("code", "series_pos", "nombre", "anyo", "fk_periodo")
-        .agg(value.alias("valor"))
-        .withColumn("data_pos", (F.col("anyo") * DATA_POS_FACTOR + F.col("fk_periodo")).cast("long"))
-        .select("code", F.col("series_pos").cast("long").alias("series_pos"), "nombre", "data_pos",
-                F.col("anyo").cast("int").alias("anyo"), F.col("fk_periodo").cast("int").alias("fk_periodo"),
-                F.col("valor").cast("double").alias("valor"))
-    )
-
-
 def _lineitem_by_supplier_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     sup = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nat = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    # Supplier grows with the data: leave the strategy to the planner/AQE.
-    # nation (25 rows) is a fixed-size dimension.
-    sn = sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey)
-    return li.join(sn, li.l_suppkey == sn.s_suppkey)
+    reg = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    # nation (25) and region (5) are fixed-size; supplier grows with the data.
+    sn = join_fixed(sup, nat, sup.s_nationkey == nat.n_nationkey)
+    sn = join_fixed(sn, reg, sn.n_regionkey == reg.r_regionkey, "left")
+    return join_checked(li, sn, li.l_suppkey == sn.s_suppkey)
 
 
-def price_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _lineitem_by_supplier_nation(spark, sf_dir)
-    reg = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    rows = rows.join(F.broadcast(reg), rows.n_regionkey == reg.r_regionkey)
+# Each driver row contributes one datum candidate per source.  Only the label
+# indices that define a series travel through the aggregate (so they never
+# split a series); names are built afterwards on the aggregated rows, keeping
+# the per-row work narrow and inside whole-stage codegen.
+_LABELS = [("k_region", "int"), ("k_nation", "int"), ("k_sex", "int"), ("k_a", "int"), ("k_b", "int"),
+           ("k_text", "string")]
+_LABEL_CODES = [k for k, _ in _LABELS]
+
+
+def _contribution(code: Column, series_pos: Column, anyo: Column, fk: Column, x: Column, **labels) -> Column:
+    fields = [code.alias("code"), series_pos.cast("long").alias("series_pos"), anyo.alias("anyo"),
+              fk.alias("fk_periodo"), x.cast("double").alias("x")]
+    fields += [(labels[k] if k in labels else F.lit(None)).cast(t).alias(k) for k, t in _LABELS]
+    return F.struct(*fields)
+
+
+def _index_label(k: Column, labels: list[str], other: str) -> Column:
+    return _map_label(k, dict(enumerate(labels)), other)
+
+
+def _lineitem_contributions() -> Column:
+    sex = F.pmod(F.col("l_suppkey"), F.lit(3))
+    nation = F.col("n_nationkey")
+    anyo = F.year("l_shipdate")
+    quarter_fk = F.quarter("l_shipdate") + QUARTER_BASE
     monthly = F.col("l_linestatus") == "O"
-    flag_idx = _map_index(F.col("l_returnflag"), list(PRICE_CATEGORIES))
-    rows = rows.select(
-        F.when(monthly, F.lit(C.IPC)).otherwise(F.lit(C.IPV)).alias("code"),
-        (F.col("r_regionkey") * 4 + flag_idx).alias("series_pos"),
-        _name(F.col("r_name"), _map_label(F.col("l_returnflag"), PRICE_CATEGORIES, PRICE_OTHER),
-              F.lit(PRICE_MEASURE)).alias("nombre"),
-        F.year("l_shipdate").alias("anyo"),
-        F.when(monthly, F.month("l_shipdate"))
-         .otherwise(F.quarter("l_shipdate") + QUARTER_BASE).alias("fk_periodo"),
-        "l_quantity",
+    category = _map_index(F.col("l_returnflag"), list(PRICE_CATEGORIES))
+    age = _map_index(F.col("l_returnflag"), list(AGE_GROUPS))
+    contract = _map_index(F.col("l_returnflag"), list(CONTRACTS))
+    time_idx = F.when(F.col("l_tax") != 0, _map_index(F.col("l_linestatus"), list(WORKING_TIME))).otherwise(F.lit(2))
+    # no region (dangling key) -> no price candidate: code NULL, dropped after inline
+    price_code = F.when(F.col("r_regionkey").isNotNull(),
+                        F.when(monthly, F.lit(C.IPC)).otherwise(F.lit(C.IPV)))
+    price = _contribution(price_code, F.col("r_regionkey") * 4 + category, anyo,
+                          F.when(monthly, F.month("l_shipdate")).otherwise(quarter_fk), F.col("l_quantity"),
+                          k_region=F.col("r_regionkey"), k_a=category)
+    paro = _contribution(F.lit(C.TASA_PARO), (nation * 3 + sex) * 4 + age, anyo, quarter_fk,
+                         F.round(F.col("l_discount") * 100, 0), k_nation=nation, k_sex=sex, k_a=age)
+    temp = _contribution(F.lit(C.TEMPORALIDAD), ((nation * 3 + sex) * 2 + contract) * 4 + time_idx, anyo, quarter_fk,
+                         F.col("l_quantity"), k_nation=nation, k_sex=sex, k_a=contract, k_b=time_idx)
+    return F.array(price, paro, temp)
+
+
+def _lineitem_names(agg: DataFrame, sf_dir: str) -> DataFrame:
+    spark = agg.sparkSession
+    reg = _table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("k_region"), "r_name")
+    nat = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k_nation"), "n_name")
+    named = join_fixed(join_fixed(agg, reg, "k_region", "left"), nat, "k_nation", "left")
+    sex = _index_label(F.col("k_sex"), SEXES, SEXES[-1])
+    geo = _geography(F.col("k_nation"), F.col("n_name"), C.NATIONAL_TOTAL)
+    k_a, code = F.col("k_a"), F.col("code")
+    working_time = _index_label(F.col("k_b"), [WORKING_TIME["F"], WORKING_TIME_OTHER], "")
+    nombre = (
+        F.when(code.isin(C.IPC, C.IPV),
+               _name(F.col("r_name"), _index_label(k_a, list(PRICE_CATEGORIES.values()), PRICE_OTHER),
+                     F.lit(PRICE_MEASURE)))
+        .when(code == C.TASA_PARO,
+              _name(F.lit(UNEMPLOYMENT_LABEL), sex, geo, _index_label(k_a, list(AGE_GROUPS.values()), AGE_OTHER)))
+        .otherwise(_name(geo, F.lit(EMPLOYEES_LABEL), sex,
+                         _index_label(k_a, list(CONTRACTS.values()), CONTRACT_OTHER), working_time))
     )
-    return _payload(rows, _quarters(F.sum("l_quantity") / F.count(F.lit(1))))
+    return named.withColumn("nombre", nombre)
 
 
-def employment_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _aggregate_contributions(exploded: DataFrame) -> DataFrame:
+    """One datum per (code, series, period); the label indices are functions of
+    the series position, so grouping by them does not split a series."""
+    return (exploded.where(F.col("code").isNotNull())
+            .groupBy("code", "series_pos", "anyo", "fk_periodo", *_LABEL_CODES)
+            .agg(F.sum("x").alias("sum_x"), F.count(F.lit(1)).alias("n_x")))
+
+
+def _finish(named: DataFrame, valor: Column) -> DataFrame:
+    return named.select(
+        F.col("code").cast("int").alias("code"), F.col("series_pos").cast("long").alias("series_pos"), "nombre",
+        (F.col("anyo") * DATA_POS_FACTOR + F.col("fk_periodo")).cast("long").alias("data_pos"),
+        F.col("anyo").cast("int").alias("anyo"), F.col("fk_periodo").cast("int").alias("fk_periodo"),
+        valor.cast("double").alias("valor"))
+
+
+def lineitem_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IPC, IPV, unemployment and temporality payloads in one lineitem scan.
+
+    Each line contributes one datum candidate to three sources (``inline`` of
+    a 3-element array); one hash aggregate with map-side partials combines
+    them per (code, series, period).
+    """
     rows = _lineitem_by_supplier_nation(spark, sf_dir)
-    sex_idx, sex = _sex(F.col("l_suppkey"))
-    nkey = F.col("n_nationkey")
-    geo = _geography(nkey, F.col("n_name"), C.NATIONAL_TOTAL)
-    anyo = F.year("l_shipdate")
-    fk = F.quarter("l_shipdate") + QUARTER_BASE
-    paro = rows.select(
-        F.lit(C.TASA_PARO).alias("code"),
-        ((nkey * 3 + sex_idx) * 4 + _map_index(F.col("l_returnflag"), list(AGE_GROUPS))).alias("series_pos"),
-        _name(F.lit(UNEMPLOYMENT_LABEL), sex, geo,
-              _map_label(F.col("l_returnflag"), AGE_GROUPS, AGE_OTHER)).alias("nombre"),
-        anyo.alias("anyo"), fk.alias("fk_periodo"),
-        F.round(F.col("l_discount") * 100, 0).alias("rate"),
-    )
-    has_time = F.col("l_tax") != 0
-    time_idx = F.when(has_time, _map_index(F.col("l_linestatus"), list(WORKING_TIME))).otherwise(F.lit(2))
-    time_label = F.when(has_time, _map_label(F.col("l_linestatus"), WORKING_TIME, WORKING_TIME_OTHER)) \
-        .otherwise(F.lit(""))
-    temp = rows.select(
-        F.lit(C.TEMPORALIDAD).alias("code"),
-        (((nkey * 3 + sex_idx) * 2 + _map_index(F.col("l_returnflag"), list(CONTRACTS))) * 4 + time_idx)
-        .alias("series_pos"),
-        _name(geo, F.lit(EMPLOYEES_LABEL), sex, _map_label(F.col("l_returnflag"), CONTRACTS, CONTRACT_OTHER),
-              time_label).alias("nombre"),
-        anyo.alias("anyo"), fk.alias("fk_periodo"),
-        F.col("l_quantity").alias("rate"),
-    )
-    value = _quarters(F.sum("rate") / F.count(F.lit(1)))
-    return _payload(paro, value).unionByName(_payload(temp, value))
+    agg = _aggregate_contributions(rows.select(F.inline(_lineitem_contributions())))
+    return _finish(_lineitem_names(agg, sf_dir), _quarters(F.col("sum_x") / F.col("n_x")))
+
+
+def price_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitem_observations(spark, sf_dir).where(F.col("code").isin(C.IPC, C.IPV))
+
+
+def employment_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitem_observations(spark, sf_dir).where(F.col("code").isin(C.TASA_PARO, C.TEMPORALIDAD))
+
+
+def _orders_contribution() -> Column:
+    status = F.col("o_orderstatus")
+    sex = F.pmod(F.col("o_custkey"), F.lit(3))
+    nation = F.col("c_nationkey")
+    seg = _map_index(F.col("c_mktsegment"), SEGMENTS)
+    pct = _map_index(F.col("o_orderpriority"), list(PERCENTILE_MEASURES))
+    cost = _map_index(F.col("o_orderpriority"), list(COST_MEASURES))
+    occupation, percentiles = status == "F", status == "O"
+    code = F.when(occupation, F.lit(C.EAES_OCUPACION)).when(percentiles, F.lit(C.EAES_PERCENTILES)) \
+        .otherwise(F.lit(C.ETCL))
+    series_pos = (F.when(occupation, (nation * 8 + seg) * 4 + sex)
+                  .when(percentiles, (nation * 4 + sex) * 8 + pct)
+                  .otherwise((nation * 8 + seg) * 2 + cost))
+    fk = F.when(occupation | percentiles, F.lit(ANNUAL_CODE)).otherwise(F.quarter("o_orderdate") + QUARTER_BASE)
+    return _contribution(code, series_pos, F.year("o_orderdate"), fk, F.round(F.col("o_totalprice") * 100, 0),
+                         k_nation=nation, k_sex=F.when(~(occupation | percentiles), F.lit(None)).otherwise(sex),
+                         k_a=F.when(percentiles, pct).when(~occupation, cost),
+                         k_text=F.when(~percentiles, F.col("c_mktsegment")))
+
+
+def _orders_names(agg: DataFrame, sf_dir: str) -> DataFrame:
+    spark = agg.sparkSession
+    nat = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k_nation"), "n_name")
+    named = join_fixed(agg, nat, "k_nation")
+    sex = _index_label(F.col("k_sex"), SEXES, SEXES[-1])
+    geo = _geography(F.col("k_nation"), F.col("n_name"), C.SPAIN)
+    k_a, code = F.col("k_a"), F.col("code")
+    nombre = (F.when(code == C.EAES_OCUPACION, _name(F.col("k_text"), sex, geo))
+              .when(code == C.EAES_PERCENTILES,
+                    _name(sex, geo, F.lit(PERCENTILE_AGES),
+                          _index_label(k_a, list(PERCENTILE_MEASURES.values()), PERCENTILE_OTHER)))
+              .otherwise(_name(geo, F.col("k_text"), _index_label(k_a, list(COST_MEASURES.values()), COST_OTHER))))
+    return named.withColumn("nombre", nombre)
 
 
 def wage_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occupation, percentile and labour-cost payloads in one orders scan."""
     o = _table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     cu = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nat = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    cn = cu.join(F.broadcast(nat), cu.c_nationkey == nat.n_nationkey)
-    rows = o.join(cn, o.o_custkey == cn.c_custkey)
-    sex_idx, sex = _sex(F.col("o_custkey"))
-    nkey = F.col("n_nationkey")
-    geo = _geography(nkey, F.col("n_name"), C.SPAIN)
-    seg_idx = _map_index(F.col("c_mktsegment"), SEGMENTS)
-    anyo = F.year("o_orderdate")
-    cents = F.round(F.col("o_totalprice") * 100, 0)
-    status = F.col("o_orderstatus")
-    code = (F.when(status == "F", F.lit(C.EAES_OCUPACION))
-            .when(status == "O", F.lit(C.EAES_PERCENTILES)).otherwise(F.lit(C.ETCL)))
-    series_pos = (
-        F.when(status == "F", (nkey * 8 + seg_idx) * 4 + sex_idx)
-        .when(status == "O", (nkey * 4 + sex_idx) * 8
-              + _map_index(F.col("o_orderpriority"), list(PERCENTILE_MEASURES)))
-        .otherwise((nkey * 8 + seg_idx) * 2 + _map_index(F.col("o_orderpriority"), list(COST_MEASURES)))
-    )
-    nombre = (
-        F.when(status == "F", _name(F.col("c_mktsegment"), sex, geo))
-        .when(status == "O", _name(sex, geo, F.lit(PERCENTILE_AGES),
-                                   _map_label(F.col("o_orderpriority"), PERCENTILE_MEASURES, PERCENTILE_OTHER)))
-        .otherwise(_name(geo, F.col("c_mktsegment"),
-                         _map_label(F.col("o_orderpriority"), COST_MEASURES, COST_OTHER)))
-    )
-    fk = F.when(status.isin("F", "O"), F.lit(ANNUAL_CODE)).otherwise(F.quarter("o_orderdate") + QUARTER_BASE)
-    rows = rows.select(code.alias("code"), series_pos.alias("series_pos"), nombre.alias("nombre"),
-                       anyo.alias("anyo"), fk.alias("fk_periodo"), cents.alias("cents"))
+    rows = join_checked(o, cu, o.o_custkey == cu.c_custkey)
+    agg = _aggregate_contributions(rows.select(F.inline(F.array(_orders_contribution()))))
     # whole euros: exact cents summed, mean rounded to the euro
-    return _payload(rows, F.round(F.sum("cents") / F.count(F.lit(1)) / 100, 0))
+    return _finish(_orders_names(agg, sf_dir), F.round(F.col("sum_x") / F.col("n_x") / 100, 0))
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All seven sources as one exploded payload."""
-    return (price_observations(spark, sf_dir)
-            .unionByName(employment_observations(spark, sf_dir))
-            .unionByName(wage_observations(spark, sf_dir)))
+    """All seven sources as one exploded payload (one scan of lineitem, one of orders)."""
+    return lineitem_observations(spark, sf_dir).unionByName(wage_observations(spark, sf_dir))

@@ -4,12 +4,12 @@ Layout under ``root``::
 
     tbl_periodo/ tbl_indicador/ tbl_geografia/      dimensions (small)
     T_precios/ T_salarios/ T_empleo/                facts, partitioned by id_indicador
-    _loads/<load id>/rows/, rejects/                 staged parsed rows of each load
+    _loads/<load id>/annotated/                      parsed payload rows of each load (rejects flagged)
 
 A load runs as written steps, each reading the previous step's output, so
 lineage is cut at every table and a lost executor only re-runs the current
-step: stage parsed rows -> append new dimension members -> re-read the
-dimensions -> append new facts.  Insert-or-ignore makes a repeated load add
+step: stage the annotated payload -> append new dimension members -> re-read
+the dimensions -> append new facts.  Insert-or-ignore makes a repeated load add
 nothing to keyed tables (prices, wages); employment rows always carry a NULL
 key part and are appended again, as the source behaviour does.
 
@@ -35,8 +35,7 @@ FACT_PARTITION = "id_indicador"
 @dataclass
 class LoadReport:
     load_id: str
-    rows_path: str
-    rejects_path: str
+    annotated_path: str
     rejects: int
     added: dict
 
@@ -84,11 +83,12 @@ class Warehouse:
         stored = self.star()
         load_id = uuid.uuid4().hex[:12]
         base = f"{self.root}/_loads/{load_id}"
-        parsed = I.parse(obs, raise_on_reject=raise_on_reject)
-        parsed.rows.write.parquet(f"{base}/rows")
-        parsed.rejects.write.parquet(f"{base}/rejects")
-        rows = self.spark.read.parquet(f"{base}/rows")
-        n_rejects = self.spark.read.parquet(f"{base}/rejects").count()
+        I.annotate(obs).write.parquet(f"{base}/annotated")   # one pass over the payload
+        parsed = I.split(self.spark.read.parquet(f"{base}/annotated"))
+        if raise_on_reject:
+            I.check_rejects(parsed.rejects)
+        rows = parsed.rows
+        n_rejects = parsed.rejects.count()
 
         d_per, d_ind, d_geo = I.new_dimensions(rows, stored)
         d_per.write.mode("append").parquet(self.path("tbl_periodo"))
@@ -99,18 +99,13 @@ class Warehouse:
         facts = I.new_facts(rows, dims, stored, null_keys_conflict)
         added = {}
         for name, df in facts.items():
-            staged = f"{base}/{name}"
-            df.write.parquet(staged)                       # the delta, for the report
-            delta = self.spark.read.schema(S.TABLES[name]).parquet(staged)
-            delta.write.mode("append").partitionBy(FACT_PARTITION).parquet(self.path(name))
-            added[name] = delta.count()
-        return LoadReport(load_id, f"{base}/rows", f"{base}/rejects", n_rejects, added)
-
-    def staged_rows(self, report: LoadReport) -> DataFrame:
-        return self.spark.read.parquet(report.rows_path)
-
-    def staged_rejects(self, report: LoadReport) -> DataFrame:
-        return self.spark.read.parquet(report.rejects_path)
+            df.write.mode("append").partitionBy(FACT_PARTITION).parquet(self.path(name))
+            added[name] = None  # counted on request: Warehouse.counts()
+        return LoadReport(load_id, f"{base}/annotated", n_rejects, added)
+
+    def staged(self, report: LoadReport) -> I.Parsed:
+        """Parsed rows and rejects of a past load (read back from its staging table)."""
+        return I.split(self.spark.read.parquet(report.annotated_path))
 
     def counts(self) -> DataFrame:
         """Row count per table (S6 style report)."""
