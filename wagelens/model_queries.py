@@ -1,5 +1,85 @@
-"""Model queries of the contract (rows-only: iterative ML has no SQL form)."""
+"""Model queries of the contract (rows-only: iterative ML has no SQL form).
+
+Each trains on the model input derived from the driver tables (via the
+warehouse star schema) with fixed seeds and returns a small result frame.
+The feature preparation and split they rest on (model_input, hash_split,
+correlation_long) are SQL-checked in ``wagelens.contract``.
+"""
 
 from __future__ import annotations
 
-MODEL_QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from pyspark.sql import types as T
+
+from wagelens.operators import models as M
+from wagelens.plans import gold as G
+
+
+def _input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wagelens.contract import star
+    return G.model_input(star(spark, sf_dir))
+
+
+def q_linear_regression_scores(spark, sf_dir):
+    df = _input(spark, sf_dir)
+    _, _, scores = M.fit_and_score(M.linear_regression(), df, "Regresion Lineal")
+    return scores
+
+
+def q_actual_vs_predicted(spark, sf_dir):
+    df = _input(spark, sf_dir)
+    _, pred, _ = M.fit_and_score(M.linear_regression(), df, "Regresion Lineal")
+    return M.actual_vs_predicted(pred)
+
+
+def q_forest_scores(spark, sf_dir):
+    df = _input(spark, sf_dir)
+    _, _, scores = M.fit_and_score(M.random_forest(), df, "Random Forest")
+    return scores
+
+
+def q_feature_importance(spark, sf_dir):
+    df = _input(spark, sf_dir)
+    train, _ = M.train_test(df)
+    model = M.random_forest().fit(train)
+    return M.feature_importance(model, train)
+
+
+def q_model_comparison(spark, sf_dir):
+    return M.model_comparison(_input(spark, sf_dir))
+
+
+def q_kmeans_clusters(spark, sf_dir):
+    labelled, _, _ = M.kmeans_clusters(_input(spark, sf_dir))
+    return labelled
+
+
+def q_silhouette(spark, sf_dir):
+    _, sil, model = M.kmeans_clusters(_input(spark, sf_dir))
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("silhouette", T.DoubleType())])
+    return spark.createDataFrame([(len(model.clusterCenters()), sil)], schema)
+
+
+def q_score_batch(spark, sf_dir):
+    from wagelens.contract import star
+    app = G.app_input(star(spark, sf_dir))
+    model = M.app_forest().fit(app)
+    combos = app.select(*M.APP_CATEGORICALS).distinct()
+    return M.score_batch(model, combos)
+
+
+MODEL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "linear_regression_scores": q_linear_regression_scores,
+    "actual_vs_predicted": q_actual_vs_predicted,
+    "forest_scores": q_forest_scores,
+    "feature_importance": q_feature_importance,
+    "model_comparison": q_model_comparison,
+    "kmeans_clusters": q_kmeans_clusters,
+    "silhouette": q_silhouette,
+    "score_batch": q_score_batch,
+}
+
+

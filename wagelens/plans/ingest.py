@@ -71,7 +71,8 @@ def annotate(obs: DataFrame) -> DataFrame:
     """
     spark = obs.sparkSession
     reg = F.broadcast(registry(spark))  # fixed 7 rows
-    x = obs.join(reg, "code", "left").withColumn("parts", name_parts(F.col("nombre")))
+    # a series without a name parses as "" (no parts), as a missing name does in the source
+    x = obs.join(reg, "code", "left").withColumn("parts", name_parts(F.coalesce(F.col("nombre"), F.lit(""))))
     series_reason = (
         F.when(F.col("family").isNull(), F.lit("unknown_code"))
         .when(F.size("parts") < F.col("required_parts"), F.lit("short_name"))

@@ -51,6 +51,7 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def _exists(self, path: str) -> bool:
+        """A table exists once a write committed into its folder (Hadoop FS check)."""
         jvm = self.spark.sparkContext._jvm
         jpath = jvm.org.apache.hadoop.fs.Path(path)
         fs = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -67,14 +68,17 @@ class Warehouse:
         return self
 
     def table(self, name: str) -> DataFrame:
+        """A stored table; a table never written reads as empty (same schema)."""
+        if not self._exists(self.path(name)):
+            return self.spark.createDataFrame([], S.TABLES[name])
         return self.spark.read.schema(S.TABLES[name]).parquet(self.path(name))
 
     def star(self) -> I.Star:
-        self.create()
-        tables = [self.table(n) for n in S.TABLES]
-        empty = self.table("tbl_periodo").limit(1).count() == 0 and \
-            self.table("tbl_geografia").limit(1).count() == 0
-        return I.Star(*tables, empty=empty)
+        """The stored tables; ``empty`` when no dimension was ever written."""
+        empty = not any(self._exists(self.path(n)) for n in ("tbl_periodo", "tbl_indicador", "tbl_geografia"))
+        if empty:
+            return I.empty_star(self.spark)
+        return I.Star(*[self.table(n) for n in S.TABLES])
 
     # ---------------------------------------------------------------- loads
 
