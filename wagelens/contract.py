@@ -10,6 +10,7 @@ alike.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,9 @@ from wagelens.plans import gold as G
 from wagelens.plans import ingest as I
 from wagelens.plans import summaries as SM
 from wagelens.sources import driver_tables as D
+from wagelens.session import scratch_path
+from wagelens.sources import export as E
+from wagelens.sources import landing as L
 from wagelens.sources.warehouse import LoadReport, Warehouse
 
 DECIMALS = 4
@@ -264,6 +268,54 @@ def q_wage_cost_only(spark, sf_dir):
     return X.wage_cost_only(parsed(spark, sf_dir).rows)
 
 
+def q_wages_by_sector_dataset(spark, sf_dir):
+    return _rounded(X.wages_by_sector_dataset(parts(spark, sf_dir)), ["salario_medio"])
+
+
+def q_model_rows_clean(spark, sf_dir):
+    return X.model_rows_without_aggregates(_model_input(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ landing and exports
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _landed_lines(spark, sf_dir) -> str:
+    """The driver-derived payload landed as JSON lines (one series per line)."""
+    path = _scratch(spark, "landing")
+    L.series_lines(D.observations(spark, sf_dir)).write.text(path)
+    return path
+
+
+def q_landing_roundtrip(spark, sf_dir):
+    return L.read_payload_lines(spark, _landed_lines(spark, sf_dir))
+
+
+def q_schema_report(spark, sf_dir):
+    return L.schema_report(spark, _landed_lines(spark, sf_dir), multi_line=False)
+
+
+def q_export_roundtrip(spark, sf_dir):
+    index = parts(spark, sf_dir).index.select("valor_ipc", "categoria_gasto", "fecha_iso", "indicador")
+    path = E.write_csv(index, _scratch(spark, "export-ipc-csv"))
+    return E.read_csv(spark, path, index.schema)
+
+
+def q_format_sizes(spark, sf_dir):
+    relation = parts(spark, sf_dir).relation()
+    csv = E.write_csv(relation, _scratch(spark, "export-gold-csv"))
+    pq = E.write_parquet(relation, _scratch(spark, "export-gold-parquet"))
+    return E.format_sizes(spark, csv, pq)
+
+
+ROWS_ONLY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "schema_report": q_schema_report,
+    "format_sizes": q_format_sizes,
+}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratio_stats": q_ratio_stats,
     "ratio_stats_materialised": q_ratio_stats_materialised,
@@ -299,4 +351,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "annual_change": q_annual_change,
     "temporality_rate": q_temporality_rate,
     "wage_cost_only": q_wage_cost_only,
+    "wages_by_sector_dataset": q_wages_by_sector_dataset,
+    "model_rows_clean": q_model_rows_clean,
+    "landing_roundtrip": q_landing_roundtrip,
+    "export_roundtrip": q_export_roundtrip,
+    **ROWS_ONLY,
 }

@@ -402,6 +402,13 @@ def oracle_sql() -> dict[str, str]:
             "SELECT *, row_number() OVER (PARTITION BY fecha_iso, indicador, geografia, sexo, sector_cnae, ocupacion_cno11 "
             f"ORDER BY ord) AS rn FROM rows_ WHERE {wc_keep} AND target = 'T_salarios' AND has_datum AND valor IS NOT NULL) "
             f"WHERE rn = 1 AND sexo = {_q(C.DEFAULT_WAGE_SEX)}"),
+        "wages_by_sector_dataset": (f"SELECT sector_cnae, {_r('avg(valor_salario)')} AS salario_medio FROM gold "
+                                    "GROUP BY sector_cnae"),
+        "model_rows_clean": (f"SELECT * FROM mi WHERE comunidad <> {nat} AND sector_cnae <> {_q(C.TOTAL)} "
+                             f"AND sexo NOT IN {_in(X.BOTH_SEXES)}"),
+        "landing_roundtrip": ("SELECT code, series_pos, nombre, CAST(row_number() OVER (PARTITION BY code, series_pos, "
+                              "nombre ORDER BY data_pos) - 1 AS BIGINT) AS data_pos, anyo, fk_periodo, valor FROM obs"),
+        "export_roundtrip": "SELECT valor_ipc, categoria_gasto, fecha_iso, indicador FROM idx",
     }
     ac = (", ac AS (SELECT i.nombre AS indicador, g.nombre AS geografia, p.fecha_iso, f.valor FROM f_precios f "
           "JOIN dim_per p USING (id_periodo) JOIN dim_ind i USING (id_indicador) JOIN dim_geo g USING (id_geografia) "

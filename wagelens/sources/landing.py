@@ -27,7 +27,12 @@ CODE_PATTERN = r"(\d+)\.json[a-z]*$"
 
 
 def _documents(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.text(path, wholetext=True)
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    return documents(raw)
+
+
+def documents(raw: DataFrame) -> DataFrame:
+    """(file, value) rows of whole documents -> (file, code, payload array)."""
     text = F.ltrim(F.col("value"))
     # malformed text: from_json would give a struct of NULLs, so validate first
     valid = F.try_parse_json(F.col("value")).isNotNull()
@@ -35,8 +40,8 @@ def _documents(spark: SparkSession, path: str) -> DataFrame:
                .when(text.startswith("{"), F.array(F.from_json(F.col("value"), S.SERIES)))
                .otherwise(F.from_json(F.col("value"), S.PAYLOAD)))
     return raw.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.regexp_extract(F.col("_metadata.file_path"), CODE_PATTERN, 1).cast("int").alias("code"),
+        "file",
+        F.regexp_extract(F.col("file"), CODE_PATTERN, 1).cast("int").alias("code"),
         payload.alias("payload"),
     )
 
@@ -59,7 +64,11 @@ def _explode(series: DataFrame) -> DataFrame:
 
 def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
     """``<code>.json`` documents -> observations (one row per datum)."""
-    docs = _documents(spark, path).where(F.col("payload").isNotNull() & F.col("code").isNotNull())
+    return observations_from_documents(_documents(spark, path))
+
+
+def observations_from_documents(docs: DataFrame) -> DataFrame:
+    docs = docs.where(F.col("payload").isNotNull() & F.col("code").isNotNull())
     series = docs.select("code", F.posexplode("payload").alias("series_pos", "s"))
     return _explode(series)
 
