@@ -20,6 +20,7 @@ from wagelens import constants as C
 from wagelens import schemas as S
 from wagelens.functions.filters import not_null_all, sex_code, year_from_text
 from wagelens.functions.series import strip_ws
+from wagelens.operators.joins import join_checked
 from wagelens.plans.ingest import Star
 
 
@@ -127,10 +128,17 @@ class GoldParts:
         return GoldParts(self.wages.where(cond), self.index, self.paro)
 
     def relation(self) -> DataFrame:
-        """Q2: the materialised gold relation, 13 columns in source order."""
-        joined = self.wages.join(self.index, "fecha_iso")
+        """Q2: the materialised gold relation, 13 columns in source order.
+
+        Both joins have very few distinct keys (dates, sexes), so a shuffle join
+        would put a date's whole fan-out into one task.  The index and
+        unemployment sides are broadcast after a size check instead: the
+        fan-out is then produced map-side, spread like the wage side.  Beyond
+        the bound the join is a sort-merge join whose skewed partitions AQE splits.
+        """
+        joined = join_checked(self.wages, self.index, "fecha_iso")
         joined = joined.withColumn("ratio_poder_adquisitivo", F.col("valor_salario") / F.col("valor_ipc"))
-        joined = joined.join(self.paro, ["fecha_iso", "sexo"])
+        joined = join_checked(joined, self.paro, ["fecha_iso", "sexo"])
         return joined.select(*S.GOLD_COLUMNS)
 
 
