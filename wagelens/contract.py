@@ -311,6 +311,17 @@ def q_format_sizes(spark, sf_dir):
     return E.format_sizes(spark, csv, pq)
 
 
+def q_master_export(spark, sf_dir):
+    """The master set written as CSV (no index column) and read back."""
+    app = _app(spark, sf_dir)
+    path = E.write_csv(app, _scratch(spark, "export-master-csv"))
+    return E.read_csv(spark, path, app.schema)
+
+
+def q_master_preview(spark, sf_dir):
+    return SM.master_preview(_app(spark, sf_dir))
+
+
 ROWS_ONLY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_report": q_schema_report,
     "format_sizes": q_format_sizes,
@@ -355,5 +366,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_rows_clean": q_model_rows_clean,
     "landing_roundtrip": q_landing_roundtrip,
     "export_roundtrip": q_export_roundtrip,
+    "master_export": q_master_export,
+    "master_preview": q_master_preview,
     **ROWS_ONLY,
 }

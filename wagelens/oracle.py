@@ -13,6 +13,7 @@ from wagelens.contract import (
     DECIMALS, RANK_SECTORS, RANK_SEXES, RANK_YEARS, TREND_REGIONS, TREND_YEARS,
 )
 from wagelens.plans import extensions as X
+from wagelens.plans import summaries as SM
 from wagelens.sources import driver_tables as D
 
 
@@ -409,6 +410,9 @@ def oracle_sql() -> dict[str, str]:
         "landing_roundtrip": ("SELECT code, series_pos, nombre, CAST(row_number() OVER (PARTITION BY code, series_pos, "
                               "nombre ORDER BY data_pos) - 1 AS BIGINT) AS data_pos, anyo, fk_periodo, valor FROM obs"),
         "export_roundtrip": "SELECT valor_ipc, categoria_gasto, fecha_iso, indicador FROM idx",
+        "master_export": "SELECT * FROM app",
+        "master_preview": ("SELECT * FROM app ORDER BY fecha_iso, comunidad, sector_cnae, sexo, salario LIMIT "
+                           f"{SM.PREVIEW_ROWS}"),
     }
     ac = (", ac AS (SELECT i.nombre AS indicador, g.nombre AS geografia, p.fecha_iso, f.valor FROM f_precios f "
           "JOIN dim_per p USING (id_periodo) JOIN dim_ind i USING (id_indicador) JOIN dim_geo g USING (id_geografia) "

@@ -170,6 +170,16 @@ def gender_gap(app: DataFrame, region=C.ALL_REGIONS) -> DataFrame:
             .groupBy("sector_cnae", "sexo").agg(F.avg("salario").alias("salario")))
 
 
+PREVIEW_ROWS = 100
+APP_ORDER = ["fecha_iso", "comunidad", "sector_cnae", "sexo", "salario"]
+
+
+def master_preview(app: DataFrame, region=C.ALL_REGIONS, rows: int = PREVIEW_ROWS) -> DataFrame:
+    """K4: first rows of the (region-filtered) master set.  The source shows an
+    unordered head; a total order makes it deterministic (top-k, no global sort)."""
+    return app_filter(app, region).orderBy(*APP_ORDER).limit(rows)
+
+
 # ------------------------------------------------------------------ A10
 
 
