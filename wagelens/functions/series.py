@@ -11,6 +11,7 @@ from wagelens import constants as C
 # information separators U+001C..U+001F.  Spark's trim removes spaces only.
 _WS = r"[\s\x{1c}-\x{1f}]"
 _EDGE_WS = rf"(?U)^{_WS}+|{_WS}+$"
+_DOT_WS = rf"(?U){_WS}*\.{_WS}*"
 
 
 def strip_ws(c: Column) -> Column:
@@ -19,9 +20,14 @@ def strip_ws(c: Column) -> Column:
 
 
 def name_parts(nombre: Column) -> Column:
-    """Split a series name on '.', strip every part and drop the empty ones."""
-    parts = F.split(nombre, r"\.", -1)
-    return F.filter(F.transform(parts, strip_ws), lambda p: p != "")
+    """Split a series name on '.', strip every part and drop the empty ones.
+
+    Stripping every part equals removing the whitespace next to each dot and
+    at both ends of the name, so no per-element lambda is needed (built-ins
+    only, inside whole-stage codegen).
+    """
+    tight = strip_ws(F.regexp_replace(nombre, _DOT_WS, "."))
+    return F.array_remove(F.split(tight, r"\.", -1), "")
 
 
 def period_month(fk: Column) -> Column:

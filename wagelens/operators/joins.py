@@ -27,7 +27,10 @@ def join_fixed(big: DataFrame, fixed: DataFrame, on, how: str = "inner") -> Data
 
 
 def join_checked(big: DataFrame, small: DataFrame, on: Column | str | list, how: str = "inner",
-                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    if small.count() <= max_rows:
+                 max_rows: int = BROADCAST_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
+    """``bound``: a frame with at least as many rows as ``small`` that is cheaper
+    to count (the plain table under a join with fixed-size tables: a Parquet
+    count reads file footers only)."""
+    if (bound if bound is not None else small).count() <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small.hint("merge"), on, how)

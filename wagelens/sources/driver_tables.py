@@ -120,7 +120,8 @@ def _lineitem_by_supplier_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation (25) and region (5) are fixed-size; supplier grows with the data.
     sn = join_fixed(sup, nat, sup.s_nationkey == nat.n_nationkey)
     sn = join_fixed(sn, reg, sn.n_regionkey == reg.r_regionkey, "left")
-    return join_checked(li, sn, li.l_suppkey == sn.s_suppkey)
+    # supplier rows bound the (inner, fixed-size) joined side
+    return join_checked(li, sn, li.l_suppkey == sn.s_suppkey, bound=sup)
 
 
 # Each driver row contributes one datum candidate per source.  Only the label
