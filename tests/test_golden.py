@@ -189,3 +189,18 @@ def test_json_lines_roundtrip(spark, loaded):
     cols = ["code", "series_pos", "nombre", "data_pos", "anyo", "fk_periodo", "valor"]
     assert sorted(map(tuple, back.select(*cols).collect()), key=str) == \
         sorted(map(tuple, obs.select(*cols).collect()), key=str)
+
+
+def test_rerun_after_partial_load(spark, loaded):
+    """A load that died after writing its dimensions, re-run in full, gives one load's rows."""
+    _, _, obs = loaded
+    wh = Warehouse(spark)
+    rows = I.parse(obs).rows
+    d_per, d_ind, d_geo = I.new_dimensions(rows, wh.star())
+    d_per.write.parquet(wh.path("tbl_periodo"))
+    d_ind.write.parquet(wh.path("tbl_indicador"))
+    d_geo.write.parquet(wh.path("tbl_geografia"))
+    wh.load(obs)
+    counts = {r.tabla: r.filas for r in wh.counts().collect()}
+    assert counts == {"tbl_periodo": 5, "tbl_indicador": 5, "tbl_geografia": 4,
+                      "T_precios": 7, "T_salarios": 4, "T_empleo": 3}
