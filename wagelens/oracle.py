@@ -157,7 +157,7 @@ m1 AS (
   FROM x2 WHERE series_reason IS NULL),
 rows_ AS (
   SELECT code, series_pos, nombre, data_pos, anyo, fk_periodo, valor, family, target,
-    reg_indicador AS indicador, reg_unidad AS unidad, len(parts) AS n_parts, {meta_cols}, has_datum, series_ord,
+    reg_indicador AS indicador, reg_unidad AS unidad, CAST(len(parts) AS INTEGER) AS n_parts, {meta_cols}, has_datum, series_ord,
     CASE WHEN has_datum THEN series_ord + data_pos + 1 END AS ord,
     CASE WHEN has_datum THEN make_date(anyo, {month}, 1) END AS fecha_iso,
     CASE WHEN has_datum THEN {month} END AS mes,
