@@ -204,3 +204,12 @@ def test_rerun_after_partial_load(spark, loaded):
     counts = {r.tabla: r.filas for r in wh.counts().collect()}
     assert counts == {"tbl_periodo": 5, "tbl_indicador": 5, "tbl_geografia": 4,
                       "T_precios": 7, "T_salarios": 4, "T_empleo": 3}
+
+
+def test_empty_load_writes_nothing(spark):
+    from wagelens import schemas as S
+    wh = Warehouse(spark)
+    report = wh.load(spark.createDataFrame([], S.OBSERVATIONS))
+    assert report.added == {}
+    assert wh.star().empty
+    assert {r.filas for r in wh.counts().collect()} == {0}

@@ -35,6 +35,7 @@ TREND_REGIONS = ["Andalucía", "Cataluña", "Galicia", "Madrid, Comunidad de"]
 RANK_YEARS = [1997, 1999]
 RANK_SEXES = ["Hombres", "Mujeres"]
 RANK_SECTORS = ["AUTOMOBILE", "BUILDING", "MACHINERY"]
+APP_REGION = "Madrid, Comunidad de"
 
 
 def R(c: Column | str) -> Column:
@@ -141,6 +142,10 @@ def q_app_kpis(spark, sf_dir):
     return _rounded(SM.app_kpis(_app(spark, sf_dir)), ["salario_medio"])
 
 
+def q_app_region_kpis(spark, sf_dir):
+    return _rounded(SM.app_kpis(_app(spark, sf_dir), APP_REGION), ["salario_medio"])
+
+
 def q_wage_by_sector(spark, sf_dir):
     return _rounded(SM.wage_by_sector(_app(spark, sf_dir)), ["salario"])
 
@@ -341,6 +346,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "region_map": q_region_map,
     "dashboard_kpis": q_dashboard_kpis,
     "app_kpis": q_app_kpis,
+    "app_region_kpis": q_app_region_kpis,
     "wage_by_sector": q_wage_by_sector,
     "gender_gap": q_gender_gap,
     "distinct_filters": q_distinct_filters,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from wagelens import constants as C
 from wagelens.contract import (
-    DECIMALS, RANK_SECTORS, RANK_SEXES, RANK_YEARS, TREND_REGIONS, TREND_YEARS,
+    APP_REGION, DECIMALS, RANK_SECTORS, RANK_SEXES, RANK_YEARS, TREND_REGIONS, TREND_YEARS,
 )
 from wagelens.plans import extensions as X
 from wagelens.plans import summaries as SM
@@ -355,6 +355,8 @@ def oracle_sql() -> dict[str, str]:
                        f"FROM ({region}) r JOIN {_coords()} ON r.comunidad = coords.comunidad"),
         "dashboard_kpis": _kpis(),
         "app_kpis": f"SELECT {_r('avg(salario)')} AS salario_medio, count(*) AS muestra FROM app",
+        "app_region_kpis": (f"SELECT {_r('avg(salario)')} AS salario_medio, count(*) AS muestra FROM app "
+                            f"WHERE comunidad = {_q(APP_REGION)}"),
         "wage_by_sector": f"SELECT sector_cnae, {_r('avg(salario)')} AS salario FROM app GROUP BY sector_cnae",
         "gender_gap": (f"SELECT sector_cnae, sexo, {_r('avg(salario)')} AS salario FROM app "
                        f"WHERE sexo <> {_q(C.TOTAL)} GROUP BY sector_cnae, sexo"),

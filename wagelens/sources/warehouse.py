@@ -93,6 +93,8 @@ class Warehouse:
             I.check_rejects(parsed.rejects)
         rows = parsed.rows
         n_rejects = parsed.rejects.count()
+        if rows.limit(1).count() == 0:          # S6: empty input -> nothing written
+            return LoadReport(load_id, f"{base}/annotated", n_rejects, {})
 
         d_per, d_ind, d_geo = I.new_dimensions(rows, stored)
         d_per.write.mode("append").parquet(self.path("tbl_periodo"))
