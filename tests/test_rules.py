@@ -64,3 +64,17 @@ def test_factorised_equals_materialised(spark):
           for r in SM.wage_trend_region(parts, method=SM.MATERIALISED).collect()}
     assert ta.keys() == tb.keys()
     assert all(math.isclose(ta[k], tb[k], rel_tol=1e-12) for k in ta)
+
+
+def test_load_is_unchanged_under_repartition(spark):
+    """First row wins by the explicit ordinal, so partitioning cannot change the facts."""
+    from wagelens.plans import ingest as I
+    from wagelens.sources import driver_tables as D
+    obs = D.observations(spark, "/root/testdata/sf0.001")
+
+    def facts(o):
+        s = I.build_star(I.parse(o))
+        return {t: sorted(map(str, s.table(t).collect())) for t in ("T_precios", "T_salarios", "T_empleo",
+                                                                        "tbl_periodo", "tbl_geografia")}
+
+    assert facts(obs.repartition(1)) == facts(obs.repartition(7, "nombre"))
