@@ -22,7 +22,7 @@ from wagelens.plans import gold as G
 from wagelens.plans import ingest as I
 from wagelens.plans import summaries as SM
 from wagelens.sources import driver_tables as D
-from wagelens.session import scratch_path
+from wagelens.session import scratch_path, session_key
 from wagelens.sources import export as E
 from wagelens.sources import landing as L
 from wagelens.sources.warehouse import LoadReport, Warehouse
@@ -59,7 +59,7 @@ _WAREHOUSES: dict[tuple[str, str], tuple[Warehouse, LoadReport]] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, LoadReport]:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (session_key(spark), os.path.abspath(sf_dir))
     if key not in _WAREHOUSES:
         wh = Warehouse(spark)
         report = wh.load(D.observations(spark, sf_dir))

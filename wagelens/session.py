@@ -41,21 +41,27 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, object
     store); it is never replaced.  Locally (tests) a fresh scratch folder is
-    taken.
+    taken.  Works without a SparkContext handle (Spark Connect sessions).
     """
-    sc = spark.sparkContext
-    current = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+    current = None
+    sc = None
+    try:
+        sc = spark.sparkContext
+        current = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext handle (Spark Connect)
+        sc = None
     if not current:
         try:
             current = spark.conf.get(CHECKPOINT_CONF, None)
         except Exception:  # noqa: BLE001 - conf not readable at runtime
             current = None
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
         return current
     path = fallback or tempfile.mkdtemp(prefix="wagelens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     try:
         spark.conf.set(CHECKPOINT_CONF, path)
     except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
@@ -63,6 +69,14 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return path
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (one warehouse build per application)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: fall back to the session id
+        return str(getattr(spark, "session_id", id(spark)))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
