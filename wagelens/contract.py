@@ -229,6 +229,10 @@ def q_rejects(spark, sf_dir):
     return parsed(spark, sf_dir).rejects
 
 
+def q_source_samples(spark, sf_dir):
+    return I.source_samples(parsed(spark, sf_dir))
+
+
 def q_source_counts(spark, sf_dir):
     return I.source_counts(parsed(spark, sf_dir))
 
@@ -361,6 +365,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dimension_build": q_dimension_build,
     "rejects": q_rejects,
     "source_counts": q_source_counts,
+    "source_samples": q_source_samples,
     "model_input": q_model_input,
     "correlation_long": q_correlation_long,
     "hash_split": q_hash_split,

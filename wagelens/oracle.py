@@ -382,6 +382,8 @@ def oracle_sql() -> dict[str, str]:
                             "UNION ALL SELECT 'tbl_indicador', id_indicador, nombre, unidad FROM dim_ind"),
         "rejects": "SELECT * FROM rej",
         "source_counts": "SELECT code, count(*) AS filas FROM rows_ WHERE has_datum GROUP BY code",
+        "source_samples": ("SELECT code, series_pos, nombre, anyo, fk_periodo, valor FROM (SELECT *, row_number() "
+                           "OVER (PARTITION BY code ORDER BY ord) AS rn FROM rows_ WHERE has_datum) WHERE rn = 1"),
         "model_input": "SELECT * FROM mi",
         "correlation_long": _corr(),
         "hash_split": f"SELECT *, {_split_bucket()} < {int(round(C.TEST_FRACTION * 100))} AS en_test FROM mi",

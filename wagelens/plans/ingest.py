@@ -260,6 +260,20 @@ def source_counts(parsed: Parsed) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("filas")))
 
 
+def source_samples(parsed: Parsed) -> DataFrame:
+    """The first processed row of every source (load order).
+
+    A hash aggregate finds each source's smallest ordinal; the ordinal is
+    unique, so a join back on it returns exactly one row per source.  The
+    7-row side is bounded by the registry and broadcast.  No per-source window:
+    one source may hold a third of all rows.
+    """
+    data = parsed.rows.where("has_datum")
+    firsts = data.groupBy("code").agg(F.min("ord").alias("ord"))
+    return (data.join(F.broadcast(firsts), ["code", "ord"])
+            .select("code", "series_pos", "nombre", "anyo", "fk_periodo", "valor"))
+
+
 def series_table(parsed: Parsed) -> DataFrame:
     """One row per accepted series with its parsed metadata."""
     cols = ["code", "series_pos", "nombre", "n_parts"] + [f"meta_{f}" for f in C.META_FIELDS]
