@@ -7,8 +7,8 @@ document is a chunk of its own), so memory follows the longest document and not
   from 0x80 on, so byte tables express the character classes used here).
 * A word's hash is a polynomial over random byte values modulo 2^64, read off a prefix sum and finalised.
 * A window's hash is a polynomial over word hashes; ``window_hashes`` gives two independent 64-bit values.
-* A minimiser is a position whose k-gram hash is least in some window of ``w`` k-grams; all ties are kept, so equal
-  windows always keep the same positions.
+* A minimiser is the least k-gram of a window; consecutive windows share theirs, so about 2 / (length - k + 2) of all
+  positions are minimisers.
 
 Null texts have no words.
 """
@@ -161,36 +161,30 @@ def window_hashes(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray, second: bo
     return one, two
 
 
-def _sliding(values: np.ndarray, w: int, op: np.ufunc) -> np.ndarray:
-    """op over values[i:i+w] for each i (runs past the end are cut)."""
-    out, size = values.copy(), 1
-    while size < w:
-        step = min(size, w - size)
-        if step < len(out):
-            out[: len(out) - step] = op(out[: len(out) - step], out[step:])
-        size += step
-    return out
-
+def minimisers(words: Words, hashes: np.ndarray, k: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each window of ``length`` words inside a document is owned by its least k-gram (the leftmost of equal ones).
 
-def minimisers(words: Words, hashes: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Selected word positions (into the chunk) and their k-gram hashes.
-
-    Every run of ``window`` words inside one document holds at least one selected k-gram, and equal runs hold the
-    same ones.
+    Returns, per owner in text order: its word position in the chunk, its k-gram hash, and the first and last start of
+    the windows that it owns.  Equal windows are owned by the same k-gram at the same offset, wherever they stand.
     """
     n = len(hashes)
     at = np.arange(n)
-    whole = words.fits(window)
-    if not whole.any():
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    fits = words.fits(k)
+    whole = np.flatnonzero(words.fits(length))
+    if not len(whole):
+        none = np.zeros(0, dtype=np.int64)
+        return none, np.zeros(0, dtype=np.uint64), none, none
     grams = np.full(n, MAX64, dtype=np.uint64)
-    lo = at[fits]
-    grams[fits] = window_hashes(hashes, lo, lo + k, second=False)[0]
-    w = window - k + 1
-    least = _sliding(grams, w, np.minimum)
-    # the greatest least-value over the windows that cover a position and lie inside its document
-    reach = np.where(whole, least, np.uint64(0))
-    reach = _sliding(reach[::-1], w, np.maximum)[::-1]
-    chosen = np.flatnonzero(fits & (reach == grams) & (reach > 0))
-    return chosen, grams[chosen]
+    lo = at[words.fits(k)]
+    grams[lo] = window_hashes(hashes, lo, lo + k, second=False)[0]
+    least, size, w = at, 1, length - k + 1
+    while size < w:
+        step = min(size, w - size)
+        other = least[step:]
+        mine = least[: n - step]
+        least = np.append(np.where(grams[other] < grams[mine], other, mine), least[max(0, n - step):])
+        size += step
+    owner = least[whole]
+    new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (whole[1:] != whole[:-1] + 1)])
+    first = whole[new]
+    last = whole[np.append(new[1:], len(whole)) - 1]
+    return owner[new], grams[owner[new]], first, last
