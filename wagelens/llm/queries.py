@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wagelens.llm import quality_rules
+from wagelens.llm import packing, quality_rules, substring_dedup, suffix_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
@@ -15,6 +15,21 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op9_packing": op9_packing,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
