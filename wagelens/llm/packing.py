@@ -6,7 +6,7 @@
    depend on the data.
 3. On the driver, a linear program over packing patterns of that histogram is solved by column generation: the revised
    simplex method gives a price per class, an unbounded-knapsack dynamic program finds the pattern of greatest price,
-   until no pattern is worth more than one sequence (or the bound is within ``GAP``).  Patterns are rounded down and
+   until no pattern is worth noticeably more than one sequence.  Patterns are rounded down and
    the few pieces left over are packed first-fit decreasing by class.
 4. Pieces are ranked within their class (in salted blocks, so no class is one task) and the rank picks the pattern, the
    sequence and the slot by binary search in the pattern table.
@@ -34,7 +34,8 @@ CAPACITY = 2048
 UNIT = 8
 END_ID = 1
 SALTS = 128
-GAP = 1e-4
+GAP = 1e-3
+PATIENCE = 60
 #: Words whose ids one worker keeps at a time.
 CACHED_WORDS = 500_000
 
@@ -153,12 +154,13 @@ def best_pattern(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[
     """Unbounded knapsack: the most valuable multiset of sizes within the capacity."""
     best = np.zeros(capacity + 1)
     take = np.full(capacity + 1, -1)
+    fitting = np.searchsorted(sizes, np.arange(capacity + 1), side="right")  # sizes ascend
     for room in range(1, capacity + 1):
         best[room] = best[room - 1]
-        fit = sizes <= room
-        if fit.any():
-            value = np.where(fit, prices + best[np.maximum(room - sizes, 0)], -1.0)
-            i = int(value.argmax())
+        k = fitting[room]
+        if k:
+            value = prices[:k] + best[room - sizes[:k]]
+            i = value.argmax()
             if value[i] > best[room] + 1e-12:
                 best[room], take[room] = value[i], i
     counts = np.zeros(len(sizes), dtype=np.int64)
@@ -172,33 +174,67 @@ def best_pattern(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[
     return float(best[capacity]), counts
 
 
+def first_fit(left: np.ndarray, sizes: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray]]:
+    """First-fit decreasing by size class: (how often, count per size), every piece held exactly once."""
+    left, out = left.copy(), []
+    while left.any():
+        column, room = np.zeros(len(sizes), dtype=np.int64), capacity
+        for i in np.argsort(-sizes, kind="stable"):
+            n = min(int(left[i]), room // int(sizes[i]))
+            column[i] += n
+            room -= n * int(sizes[i])
+        held = column > 0
+        times = int((left[held] // column[held]).min())
+        out.append((times, column))
+        left -= times * column
+    return out
+
+
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Matrix by vector without BLAS, whose threads cost more than such small products."""
+    return (matrix * vector).sum(axis=1)
+
+
 def cutting_stock(demand: np.ndarray, sizes: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray]]:
-    """(how often, count per size) of patterns that hold all pieces: demand[i] pieces of sizes[i]."""
+    """(how often, count per size) of patterns that hold all pieces: demand[i] pieces of sizes[i].
+
+    First-fit patterns enter the basis first; then the knapsack prices new ones until none is worth more than
+    1 + GAP sequences or ``PATIENCE`` columns together gain less than GAP.
+    """
     m = len(sizes)
     if not m:
         return []
     patterns = np.diag(capacity // sizes).astype(float)
     inverse = np.diag(1.0 / (capacity // sizes))
-    amounts = inverse @ demand
-    for step in range(40 * m + 200):
-        prices = np.ones(m) @ inverse
-        value, column = best_pattern(prices, sizes, capacity)
-        if value <= 1 + GAP:
-            break
-        direction = inverse @ column
+    amounts = _times(inverse, demand)
+    ready = [column for _, column in first_fit(demand.astype(np.int64), sizes, capacity)]
+    step, mark = 0, np.inf
+    while True:
+        prices = inverse.sum(axis=0)
+        if ready:
+            column = ready.pop()
+            if (prices * column).sum() <= 1 + 1e-9:
+                continue
+        else:
+            if step % PATIENCE == 0:
+                if amounts.sum() > mark * (1 - GAP):
+                    break
+                mark = amounts.sum()
+            value, column = best_pattern(prices, sizes, capacity)
+            if value <= 1 + GAP:
+                break
+            step += 1
+        direction = _times(inverse, column)
         grows = direction > 1e-9
         if not grows.any():
             break
         ratio = np.where(grows, amounts / np.where(grows, direction, 1.0), np.inf)
         out = int(ratio.argmin())
         patterns[:, out] = column
-        if step % 50 == 49:
-            inverse = np.linalg.inv(patterns)
-        else:
-            pivot = inverse[out] / direction[out]
-            inverse = inverse - np.outer(direction, pivot)
-            inverse[out] = pivot
-        amounts = np.maximum(inverse @ demand, 0.0)
+        pivot = inverse[out] / direction[out]
+        inverse = inverse - np.outer(direction, pivot)
+        inverse[out] = pivot
+        amounts = np.maximum(_times(inverse, demand), 0.0)
     used: dict[tuple[int, ...], int] = {}
     left = demand.astype(np.int64).copy()
     for j in np.argsort(-amounts, kind="stable"):
@@ -209,16 +245,8 @@ def cutting_stock(demand: np.ndarray, sizes: np.ndarray, capacity: int) -> list[
             if times > 0:
                 used[tuple(column)] = used.get(tuple(column), 0) + times
                 left -= times * column
-    while left.any():
-        column, room = np.zeros(m, dtype=np.int64), capacity
-        for i in np.argsort(-sizes, kind="stable"):
-            n = min(int(left[i]), room // int(sizes[i]))
-            column[i] += n
-            room -= n * int(sizes[i])
-        held = column > 0
-        times = int((left[held] // column[held]).min())
+    for times, column in first_fit(left, sizes, capacity):
         used[tuple(column)] = used.get(tuple(column), 0) + times
-        left -= times * column
     return [(n, np.array(c)) for c, n in used.items()]
 
 
