@@ -39,10 +39,13 @@ ROWS = "h1 long, h2 long, n int, first_doc long, first_pos int, coords binary, z
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """One struct with all input columns (so no name can clash), the order id, the text and the surrogate key."""
+    """One struct with all input columns but the text (so no name can clash), the order id, the text and the surrogate key.
+
+    Both joins on the key take all four columns, so the texts are shuffled once and the exchange is reused.
+    """
     doc_id = F.col("doc_id").cast("long")
     return docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
         F.coalesce(doc_id, F.lit(-(2**63))).alias("ord"), F.col("text").cast("string").alias("text"),
         F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("null")), F.col("text").isNull(), F.col("text")).alias(KEY))
 

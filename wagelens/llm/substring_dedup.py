@@ -47,7 +47,7 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, k: int = EDGE_WORDS)
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = {"doc_id": batch.column("doc_id"), "n_words": [], "n_removed": [], "kept_sha256": []}
+        out = {"doc_id": batch.column("row").field("doc_id"), "n_words": [], "n_removed": [], "kept_sha256": []}
         spans = batch.column("spans")
         for text, own in zip(batch.column("text"), spans, strict=True):
             words = (text.as_py() or "").encode().split()
@@ -70,5 +70,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = EDGE_WORDS) -
     """doc_id, n_words, n_removed and the SHA-256 of the kept words, one row per input row."""
     keyed = repeats.keyed(docs.select("doc_id", "text"))
     spans = repeated_spans(keyed, length, k)
-    return (keyed.join(spans, repeats.KEY, "left").select(F.col("row")["doc_id"].alias("doc_id"), "ord", "text", "spans")
+    return (keyed.join(spans, repeats.KEY, "left").select("row", "ord", "text", "spans")
             .mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string"))

@@ -74,19 +74,17 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             texts.append(left)
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in batch.schema.names if c not in ("text", "spans")),
-             *(pa.array(x, pa.int64()) for x in (n_words, n_repeated, n_removed)),
+            [batch.column("row"), batch.column("text"), *(pa.array(x, pa.int64()) for x in (n_words, n_repeated, n_removed)),
              pa.array(digest, pa.string()), pa.array(texts, pa.string())],
-            names=[*(c for c in batch.schema.names if c not in ("text", "spans")),
-                   "n_words", "n_repeated", "n_removed", "kept_sha256", "new_text"])
+            names=["row", "text", "n_words", "n_repeated", "n_removed", "kept_sha256", "new_text"])
 
 
 def _joined(docs: DataFrame, length: int, k: int) -> DataFrame:
     keyed = repeats.keyed(docs)
     spans = repeated_spans(keyed, length, k)
-    source = keyed.join(spans, repeats.KEY, "left").select("row", "text", "spans")
+    source = keyed.join(spans, repeats.KEY, "left").select("row", "ord", "text", "spans")
     kind = keyed.schema["row"].dataType.simpleString()
-    return source.mapInArrow(_apply, f"row {kind}, n_words long, n_repeated long, n_removed long, kept_sha256 string, new_text string")
+    return source.mapInArrow(_apply, f"row {kind}, text string, n_words long, n_repeated long, n_removed long, kept_sha256 string, new_text string")
 
 
 def report(docs: DataFrame, length: int = LENGTH, k: int = SUFFIX_WORDS) -> DataFrame:
@@ -99,7 +97,8 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, k: int = SUFFIX_WORDS) -
     """The input with later copies of repeated passages cut out of ``text`` (``n_chars``, if there, follows)."""
     cut = _joined(docs, length, k)
     changed = F.col("n_removed") > 0
-    new = {"text": F.col("new_text"), "n_chars": F.length("new_text")}
-    return cut.select(*[
-        F.when(changed, new[c].cast(docs.schema[c].dataType)).otherwise(F.col("row").getField(c)).alias(c)
-        if c in new else F.col("row").getField(c).alias(c) for c in docs.columns])
+    new = {"text": F.when(changed, F.col("new_text")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        old = F.col("row").getField("n_chars")
+        new["n_chars"] = F.when(changed, F.length("new_text").cast(docs.schema["n_chars"].dataType)).otherwise(old)
+    return cut.select(*[(new[c] if c in new else F.col("row").getField(c)).alias(c) for c in docs.columns])
