@@ -4,13 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wagelens.llm import packing, quality_rules, substring_dedup, suffix_dedup
+from wagelens.llm import (
+    decontamination, language_id, packing, quality_rules, substring_dedup, suffix_dedup, url_filters, warc_zstd,
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(_read(spark, sf_dir, "documents", "doc_id", "text"),
+                                  _read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op2_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zstd.round_trip(_read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -19,6 +34,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(_read(spark, sf_dir, "pages", "page_id", "url"),
+                             _read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -28,8 +48,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_warc_zstd": op2_warc_zstd,
+    "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
+    "op8_url_filters": op8_url_filters,
     "op9_packing": op9_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
