@@ -31,10 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wagelens.llm import repeats
+from wagelens.llm.shared import written
 from wagelens.llm.text_kernel import ALNUM, Words, words_of
 
 WINDOW = 10
 BLOCK_CHARS = 16_000_000
+#: Contaminated rows up to which they are taken out by a broadcast join; beyond, by a shuffled one.
+BROADCAST_KEYS = 500_000
 SEGMENT = ("doc_ids array<long>, doc_starts array<int>, terms array<long>, term_starts array<int>, positions array<int>")
 
 
@@ -275,6 +279,16 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_char
     return answered.withColumn("_t", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc_id", "n_words", "n_hit", "items")
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark phrase occurs, with all their columns as they were."""
+    keyed = repeats.keyed(docs)
+    found = hits(keyed.select(F.col(repeats.KEY).alias("doc_id"), "text"), benchmark)
+    bad = written(found.filter("n_hit > 0").select(F.col("doc_id").alias(repeats.KEY)).distinct(), "contaminated")
+    few = bad.count() <= BROADCAST_KEYS
+    kept = keyed.join(F.broadcast(bad) if few else bad, repeats.KEY, "left_anti")
+    return kept.select(*[(F.col("text") if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns])
+
+
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated, one row per document."""
     return hits(docs, benchmark).select("doc_id", "n_words", "n_hit", "items").mapInArrow(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wagelens.llm import (
-    decontamination, language_id, packing, quality_rules, substring_dedup, suffix_dedup, url_filters, warc_zstd,
+    decontamination, jaccard_join, language_id, packing, quality_rules, quote_links, substring_dedup, suffix_dedup,
+    url_filters, warc_zstd,
 )
 
 
@@ -34,6 +35,14 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op7_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_links.link(_read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(_read(spark, sf_dir, "pages", "page_id", "url"),
                              _read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
@@ -53,6 +62,8 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
+    "op7_quote_links": op7_quote_links,
     "op8_url_filters": op8_url_filters,
     "op9_packing": op9_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
