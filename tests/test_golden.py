@@ -168,7 +168,7 @@ def test_rejects_and_lone_object(spark):
     assert [r.code for r in L.unreadable_files(spark, d).collect()] == [25171]
     p = I.parse(obs)
     reasons = sorted((r.code, r.reason) for r in p.rejects.collect())
-    assert reasons == [(50913, "null_year"), (65132, "short_name"), (99999, "unknown_code")]
+    assert reasons == [(25171, "unreadable_file"), (50913, "null_year"), (65132, "short_name"), (99999, "unknown_code")]
     assert p.rows.where("code = 28186 AND has_datum").count() == 1      # lone object wrapped
     with pytest.raises(ValueError):
         I.parse(obs, raise_on_reject=True)

@@ -111,7 +111,7 @@ KMEANS_RESTARTS = 10
 SOURCE_RANK = {code: rank for rank, code in enumerate(LOAD_ORDER)}
 REQUIRED_PARTS = {code: max(layout.values()) + 1 for code, layout in LAYOUTS.items()}
 
-# Packed load ordinal: rank << 56 | series position << 28 | datum position + 1.
-RANK_SHIFT = 56
-SERIES_SHIFT = 28
-POSITION_LIMIT = 1 << SERIES_SHIFT
+# Load ordinal: rank, then series position (shifted to be positive), then datum position + 1, in decimal digits.
+RANK_DIGITS = 30
+DATUM_DIGITS = 10
+SERIES_DIGITS = 19

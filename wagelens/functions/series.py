@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,14 +58,16 @@ def wage_geography(geografia: Column) -> Column:
 
 
 def packed_ordinal(rank: Column, series_pos: Column, data_pos: Column | None) -> Column:
-    """One BIGINT load ordinal: rank << 56 | series << 28 | (datum + 1).
+    """One DECIMAL(38, 0) load ordinal: rank, series position, datum position + 1, each in its own digits.
 
-    ``data_pos`` None gives the series-level ordinal (creation of geography and
-    indicator happens before the series' data).  A single long keeps the
-    first-row-wins aggregate a hash aggregate with map-side partials.
+    The digits hold any BIGINT series position and any array position, so no
+    row is ever rejected for where it stands.  ``data_pos`` None gives the
+    series-level ordinal (creation of geography and indicator happens before
+    the series' data).  A single number keeps the first-row-wins aggregate a
+    hash aggregate with map-side partials.
     """
-    base = (F.shiftleft(rank.cast("long"), C.RANK_SHIFT)
-            + F.shiftleft(series_pos.cast("long"), C.SERIES_SHIFT))
-    if data_pos is None:
-        return base
-    return base + data_pos.cast("long") + F.lit(1)
+    series = series_pos.cast("decimal(20,0)") + F.lit(Decimal(10) ** C.SERIES_DIGITS)
+    base = (rank.cast("decimal(2,0)") * F.lit(Decimal(10) ** C.RANK_DIGITS)
+            + series * F.lit(Decimal(10) ** C.DATUM_DIGITS))
+    datum = F.lit(Decimal(0)) if data_pos is None else data_pos.cast("decimal(20,0)") + F.lit(Decimal(1))
+    return (base + datum).cast("decimal(38,0)")

@@ -63,26 +63,29 @@ ROW_COLUMNS = [
 def annotate(obs: DataFrame) -> DataFrame:
     """Every payload row with its parsed columns and reject reasons (one pass).
 
-    Reject reasons: ``unknown_code`` (no registry entry), ``short_name`` (fewer
-    name parts than the layout needs; the reference raises and stops),
-    ``position_overflow`` (series or datum position beyond the packed
-    ordinal), ``null_year`` / ``bad_year`` (datum only; the reference aborts
-    the run).
+    Reject reasons: ``unreadable_file`` (a landed file that is no payload),
+    ``unknown_code`` (no registry entry), ``short_name`` (fewer name parts than
+    the layout needs; the reference raises and stops), ``null_year`` /
+    ``bad_year`` (datum only; the reference aborts the run), ``bad_value`` (a
+    datum's value is text that is no number).
     """
+    for flag in ("unreadable", "bad_value"):  # landed payloads carry them
+        if flag not in obs.columns:
+            obs = obs.withColumn(flag, F.lit(False))
     spark = obs.sparkSession
     reg = F.broadcast(registry(spark))  # fixed 7 rows
     # a series without a name parses as "" (no parts), as a missing name does in the source
     x = obs.join(reg, "code", "left").withColumn("parts", name_parts(F.coalesce(F.col("nombre"), F.lit(""))))
     series_reason = (
-        F.when(F.col("family").isNull(), F.lit("unknown_code"))
+        F.when(F.col("unreadable"), F.lit("unreadable_file"))
+        .when(F.col("family").isNull(), F.lit("unknown_code"))
         .when(F.size("parts") < F.col("required_parts"), F.lit("short_name"))
-        .when((F.col("series_pos") < 0) | (F.col("series_pos") >= C.POSITION_LIMIT)
-              | (F.col("data_pos") >= C.POSITION_LIMIT - 1), F.lit("position_overflow"))
     )
     datum_reason = (
         F.when(F.col("data_pos").isNull(), F.lit(None).cast("string"))
         .when(F.col("anyo").isNull(), F.lit("null_year"))
         .when((F.col("anyo") < 1) | (F.col("anyo") > 9999), F.lit("bad_year"))
+        .when(F.col("bad_value"), F.lit("bad_value"))
     )
     x = x.withColumn("series_reason", series_reason).withColumn("datum_reason", datum_reason)
     meta = {f: F.get(F.col("parts"), F.col(f"pos_{f}")) for f in C.META_FIELDS}
@@ -190,8 +193,11 @@ def new_dimensions(rows: DataFrame, stored: Star) -> tuple[DataFrame, DataFrame,
     """
     known_empty = stored.empty
     geo_first = first_appearance(rows, F.col("geografia"), "nombre", F.col("series_ord"))
-    ind_first = first_appearance(rows, F.col("indicador"), "nombre", F.col("series_ord"),
-                                 {"unidad": F.col("unidad")})
+    # the unit belongs to the indicator: taken from the registry (7 rows) after the aggregate
+    units = {indicador: unidad for _, indicador, unidad in reversed([C.SOURCES[c] for c in C.LOAD_ORDER])}
+    unit_rows = rows.sparkSession.createDataFrame(list(units.items()), "nombre string, unidad string")
+    ind_first = (first_appearance(rows, F.col("indicador"), "nombre", F.col("series_ord"))
+                 .join(F.broadcast(unit_rows), "nombre", "left"))
     per_first = first_appearance(rows.filter("has_datum"), F.col("fecha_iso"), "fecha_iso", F.col("ord"),
                                  {"anio": F.col("anyo"), "mes": F.col("mes"), "trimestre": F.col("trimestre")})
     new_geo = new_members(geo_first, stored.geografia, "nombre", "nombre", "id_geografia",
@@ -277,5 +283,5 @@ def source_samples(parsed: Parsed) -> DataFrame:
 def series_table(parsed: Parsed) -> DataFrame:
     """One row per accepted series with its parsed metadata."""
     cols = ["code", "series_pos", "nombre", "n_parts"] + [f"meta_{f}" for f in C.META_FIELDS]
-    return parsed.rows.select(*cols).dropDuplicates(["code", "series_pos", "nombre"])
+    return parsed.rows.select(*cols).distinct()  # the parse depends on code and name only
 

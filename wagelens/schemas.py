@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 DATUM = T.StructType([
     T.StructField("Anyo", T.IntegerType()),
     T.StructField("FK_Periodo", T.IntegerType()),
-    T.StructField("Valor", T.DoubleType()),
+    T.StructField("Valor", T.StringType()),  # text, so a value that is no number is seen and rejected
 ])
 SERIES = T.StructType([
     T.StructField("Nombre", T.StringType()),

@@ -36,6 +36,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def _runs_locally(spark: SparkSession) -> bool:
+    """Is the driver the only process (``local`` or ``local[..]`` master)?"""
+    return spark.conf.get("spark.master", "").partition("[")[0] == "local"
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 
@@ -59,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current
+    if not _runs_locally(spark):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share; there is no local fallback on a cluster")
     path = fallback or tempfile.mkdtemp(prefix="wagelens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is not None:
         sc.setCheckpointDir(path)

@@ -11,13 +11,16 @@ Two landing formats:
 
 Both give the exploded observation frame of ``schemas.OBSERVATIONS``; series
 and datum positions come from ``posexplode`` and feed the load ordinal.  A
-file that does not parse yields no series and is reported by
-``unreadable_files`` (the reference skips a failed source and goes on).
+file that does not parse yields no series; it becomes one reject row
+(``unreadable_file``, named after the file) of the load, and
+``unreadable_files`` lists such files (a failed source is skipped).  Values
+given as text are kept where they are numbers and rejected (``bad_value``)
+where they are not.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,14 +31,17 @@ CODE_PATTERN = r"(\d+)\.json[a-z]*$"
 
 def _documents(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return documents(raw)
+    # the text source gives no row for an empty file; it is a file without a payload all the same
+    empty = spark.read.format("binaryFile").load(path).where("length = 0").select(F.col("path").alias("file"), F.lit("").alias("value"))
+    return documents(raw.unionByName(empty))
 
 
 def documents(raw: DataFrame) -> DataFrame:
     """(file, value) rows of whole documents -> (file, code, payload array)."""
     text = F.ltrim(F.col("value"))
-    # malformed text: from_json would give a struct of NULLs, so validate first
-    valid = F.try_parse_json(F.col("value")).isNotNull()
+    # malformed text: from_json would give a struct of NULLs, so validate first; these two
+    # functions stream over the text, so a document's size and repeated keys don't matter
+    valid = F.json_array_length("value").isNotNull() | F.json_object_keys("value").isNotNull()
     payload = (F.when(~valid, F.lit(None))
                .when(text.startswith("{"), F.array(F.from_json(F.col("value"), S.SERIES)))
                .otherwise(F.from_json(F.col("value"), S.PAYLOAD)))
@@ -52,13 +58,25 @@ def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
     return docs.where(F.col("payload").isNull() | F.col("code").isNull()).select("file", "code")
 
 
+NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def number(text: Column) -> Column:
+    """A numeric text as double (as a REAL column would store it); NULL for anything else."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
 def _explode(series: DataFrame) -> DataFrame:
-    data = series.select("code", "series_pos", F.col("s.Nombre").alias("nombre"),
+    """Series -> observations; ``bad_value`` and ``unreadable`` mark what ``ingest.annotate`` rejects."""
+    data = series.select("code", "series_pos", "unreadable",
+                         F.when(F.col("unreadable"), F.col("file")).otherwise(F.col("s.Nombre")).alias("nombre"),
                          F.posexplode_outer(F.col("s.Data")).alias("data_pos", "d"))
+    value = F.col("d.Valor")
     return data.select(
         F.col("code").cast("int").alias("code"), F.col("series_pos").cast("long").alias("series_pos"), "nombre",
         F.when(F.col("d").isNotNull(), F.col("data_pos")).cast("long").alias("data_pos"),
-        F.col("d.Anyo").alias("anyo"), F.col("d.FK_Periodo").alias("fk_periodo"), F.col("d.Valor").alias("valor"),
+        F.col("d.Anyo").alias("anyo"), F.col("d.FK_Periodo").alias("fk_periodo"), number(value).alias("valor"),
+        (value.isNotNull() & number(value).isNull()).alias("bad_value"), "unreadable",
     )
 
 
@@ -68,9 +86,11 @@ def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def observations_from_documents(docs: DataFrame) -> DataFrame:
-    docs = docs.where(F.col("payload").isNotNull() & F.col("code").isNotNull())
-    series = docs.select("code", F.posexplode("payload").alias("series_pos", "s"))
-    return _explode(series)
+    """One row per datum; an unreadable file (no payload or no code) is one row named after it."""
+    docs = docs.withColumn("unreadable", F.col("payload").isNull() | F.col("code").isNull())
+    own = F.when(~F.col("unreadable"), F.col("payload"))
+    series = docs.select("file", "code", "unreadable", F.posexplode_outer(own).alias("series_pos", "s"))
+    return _explode(series.where(F.col("unreadable") | F.col("series_pos").isNotNull()))
 
 
 LINE_SCHEMA = T.StructType([
@@ -81,11 +101,12 @@ LINE_SCHEMA = T.StructType([
 ])
 
 
-def read_payload_lines(spark: SparkSession, path: str) -> DataFrame:
-    """S1, splittable form: JSON lines of series carrying code and position."""
+def read_payload_lines(spark: SparkSession, path: str, clean: bool = False) -> DataFrame:
+    """S1, splittable form: JSON lines of series carrying code and position (clean: payload columns only)."""
     lines = spark.read.schema(LINE_SCHEMA).json(path)
-    series = lines.select("code", "series_pos", F.struct("Nombre", "Data").alias("s"))
-    return _explode(series)
+    series = lines.select("code", "series_pos", F.struct("Nombre", "Data").alias("s"),
+                          F.lit(False).alias("unreadable"), F.lit(None).cast("string").alias("file"))
+    return _explode(series).drop("bad_value", "unreadable") if clean else _explode(series)
 
 
 def series_lines(obs: DataFrame) -> DataFrame:

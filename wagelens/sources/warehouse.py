@@ -2,9 +2,13 @@
 
 Layout under ``root``::
 
-    tbl_periodo/ tbl_indicador/ tbl_geografia/      dimensions (small)
-    T_precios/ T_salarios/ T_empleo/                facts, partitioned by id_indicador
-    _loads/<load id>/annotated/                      parsed payload rows of each load (rejects flagged)
+    tbl_periodo/carga=<load id>/ ...                 dimensions (small)
+    T_precios/carga=<load id>/id_indicador=<id>/ ... facts
+    _loads/<load id>/annotated/target=<table>/       parsed payload rows of each load (rejects flagged)
+
+Every load writes its own ``carga`` folders and reads the tables without them,
+so a load that is run again under its id (a replayed stream batch, a retry
+after a crash) replaces what it wrote instead of adding to it.
 
 A load runs as written steps, each reading the previous step's output, so
 lineage is cut at every table and a lost executor only re-runs the current
@@ -14,7 +18,8 @@ nothing to keyed tables (prices, wages); employment rows always carry a NULL
 key part and are appended again, as the source behaviour does.
 
 ``root`` should be on shared storage (by default a folder under the
-session's ``spark.checkpoint.dir``); nothing is ever deleted.
+session's ``spark.checkpoint.dir``); only a load's own folders are ever
+replaced.  A table is absent if its folder is; any other storage error is raised.
 """
 
 from __future__ import annotations
@@ -22,14 +27,17 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wagelens import schemas as S
 from wagelens.plans import ingest as I
 from wagelens.session import scratch_path
 
 FACT_PARTITION = "id_indicador"
+LOAD_PARTITION = "carga"
 
 
 @dataclass
@@ -50,71 +58,72 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _exists(self, path: str) -> bool:
-        """A table exists once a write committed into its folder (its _SUCCESS marker)."""
+    def _stored(self, name: str) -> DataFrame | None:
+        """The table with its load ids, or None if its folder does not exist."""
+        schema = T.StructType([*S.TABLES[name].fields, T.StructField(LOAD_PARTITION, T.StringType())])
         try:
-            jvm = self.spark.sparkContext._jvm
-            jpath = jvm.org.apache.hadoop.fs.Path(path)
-            fs = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")))
-        except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect): probe by reading
-            try:
-                self.spark.read.text(f"{path}/_SUCCESS").schema
-                return True
-            except Exception:  # noqa: BLE001 - path absent
-                return False
+            return self.spark.read.schema(schema).parquet(self.path(name))
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _write(self, df: DataFrame, name: str, load_id: str) -> None:
+        writer = df.select(*S.TABLES[name].fieldNames()).write.mode("overwrite")
+        if name.startswith("T_"):
+            writer = writer.partitionBy(FACT_PARTITION)
+        writer.parquet(f"{self.path(name)}/{LOAD_PARTITION}={load_id}")
 
     def create(self) -> "Warehouse":
         """Create every table that is absent (empty, with its schema)."""
         for name, schema in S.TABLES.items():
-            if not self._exists(self.path(name)):
-                writer = self.spark.createDataFrame([], schema).write.mode("append")
-                if name.startswith("T_"):
-                    writer = writer.partitionBy(FACT_PARTITION)
-                writer.parquet(self.path(name))
+            if self._stored(name) is None:
+                self._write(self.spark.createDataFrame([], schema), name, "0")
         return self
 
-    def table(self, name: str) -> DataFrame:
-        """A stored table; a table never written reads as empty (same schema)."""
-        if not self._exists(self.path(name)):
+    def table(self, name: str, without: str | None = None) -> DataFrame:
+        """A stored table; a table never written reads as empty (same schema).  ``without``: a load to leave out."""
+        stored = self._stored(name)
+        if stored is None:
             return self.spark.createDataFrame([], S.TABLES[name])
-        return self.spark.read.schema(S.TABLES[name]).parquet(self.path(name))
+        if without is not None:
+            stored = stored.where(F.col(LOAD_PARTITION) != without)
+        return stored.select(*S.TABLES[name].fieldNames())
 
-    def star(self) -> I.Star:
+    def star(self, without: str | None = None) -> I.Star:
         """The stored tables; ``empty`` when no dimension was ever written."""
-        empty = not any(self._exists(self.path(n)) for n in ("tbl_periodo", "tbl_indicador", "tbl_geografia"))
-        if empty:
+        if all(self._stored(n) is None for n in ("tbl_periodo", "tbl_indicador", "tbl_geografia")):
             return I.empty_star(self.spark)
-        return I.Star(*[self.table(n) for n in S.TABLES])
+        return I.Star(*[self.table(n, without) for n in S.TABLES])
 
     # ---------------------------------------------------------------- loads
 
-    def load(self, obs: DataFrame, raise_on_reject: bool = False, null_keys_conflict: bool = False) -> LoadReport:
-        """One idempotent load of an exploded payload (see module doc)."""
-        stored = self.star()
-        load_id = uuid.uuid4().hex[:12]
-        base = f"{self.root}/_loads/{load_id}"
-        I.annotate(obs).write.parquet(f"{base}/annotated")   # one pass over the payload
-        parsed = I.split(self.spark.read.parquet(f"{base}/annotated"))
+    def load(self, obs: DataFrame, raise_on_reject: bool = False, null_keys_conflict: bool = False,
+             load_id: str | None = None) -> LoadReport:
+        """One idempotent load of an exploded payload (see module doc); the same ``load_id`` replaces that load."""
+        load_id = load_id or uuid.uuid4().hex[:12]
+        stored = self.star(without=load_id)
+        path = f"{self.root}/_loads/{load_id}/annotated"
+        # one pass over the payload; each fact then reads only its own target's rows
+        annotated = I.annotate(obs)
+        annotated.write.mode("overwrite").partitionBy("target").parquet(path)
+        annotated = self.spark.read.schema(annotated.schema).parquet(path)
+        rejected = F.col("series_reason").isNotNull() | F.col("datum_reason").isNotNull()
+        found = annotated.agg(F.count_if(rejected).alias("rejects"), F.count_if(F.col("series_reason").isNull()).alias("rows")).first()
+        parsed = I.split(annotated)
         if raise_on_reject:
             I.check_rejects(parsed.rejects)
-        rows = parsed.rows
-        n_rejects = parsed.rejects.count()
-        if rows.limit(1).count() == 0:          # S6: empty input -> nothing written
-            return LoadReport(load_id, f"{base}/annotated", n_rejects, {})
-
-        d_per, d_ind, d_geo = I.new_dimensions(rows, stored)
-        d_per.write.mode("append").parquet(self.path("tbl_periodo"))
-        d_ind.write.mode("append").parquet(self.path("tbl_indicador"))
-        d_geo.write.mode("append").parquet(self.path("tbl_geografia"))
+        if not found.rows:          # S6: empty input -> nothing written
+            return LoadReport(load_id, path, found.rejects, {})
+
+        for name, df in zip(("tbl_periodo", "tbl_indicador", "tbl_geografia"), I.new_dimensions(parsed.rows, stored), strict=True):
+            self._write(df, name, load_id)
         dims = I.Star(*[self.table(n) for n in S.TABLES])
 
-        facts = I.new_facts(rows, dims, stored, null_keys_conflict)
-        added = {}
+        facts = I.new_facts(parsed.rows, dims, stored, null_keys_conflict)
         for name, df in facts.items():
-            df.write.mode("append").partitionBy(FACT_PARTITION).parquet(self.path(name))
-            added[name] = None  # counted on request: Warehouse.counts()
-        return LoadReport(load_id, f"{base}/annotated", n_rejects, added)
+            self._write(df, name, load_id)
+        return LoadReport(load_id, path, found.rejects, dict.fromkeys(facts))  # counted on request: counts()
 
     def staged(self, report: LoadReport) -> I.Parsed:
         """Parsed rows and rejects of a past load (read back from its staging table)."""

@@ -1,14 +1,18 @@
 """Re-runnable load driven by Structured Streaming.
 
 New payload documents landed in a folder are picked up by a file stream and
-loaded into the warehouse by ``foreachBatch``.  Exactly-once per batch: the
-stream's checkpoint tracks which files were read, and a batch marks its epoch
-as loaded only after the warehouse load committed, so a replayed epoch (after
-a driver or executor loss) is skipped instead of appended twice.
+loaded into the warehouse by ``foreachBatch``.  The stream's checkpoint tracks
+which files were read; a batch is loaded under an id made of that checkpoint
+and the epoch, and a load replaces whatever an earlier run of the same id
+wrote.  So a batch that is replayed (after a driver or executor loss, at any
+point of the load) leaves the tables as one run does, and streams with
+different checkpoints never share an id.  One stream loads a warehouse at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,13 +22,9 @@ from wagelens.sources.warehouse import Warehouse
 from wagelens.session import scratch_path
 
 
-def _epoch_done(wh: Warehouse, epoch_id: int) -> bool:
-    return wh._exists(f"{wh.root}/_epochs/{epoch_id}")
-
-
-def _mark_epoch(wh: Warehouse, epoch_id: int) -> None:
-    wh.spark.createDataFrame([(epoch_id,)], "epoch long").write.mode("overwrite") \
-        .parquet(f"{wh.root}/_epochs/{epoch_id}")
+def batch_load_id(checkpoint: str, epoch_id: int) -> str:
+    """The load id of one batch of the stream that keeps its state in ``checkpoint``."""
+    return f"{hashlib.sha1(checkpoint.rstrip('/').encode()).hexdigest()[:16]}-{epoch_id}"
 
 
 def start(spark: SparkSession, landing_dir: str, warehouse_root: str, checkpoint: str | None = None,
@@ -36,10 +36,7 @@ def start(spark: SparkSession, landing_dir: str, warehouse_root: str, checkpoint
            .select(F.col("_metadata.file_path").alias("file"), "value"))
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        if _epoch_done(wh, epoch_id):
-            return
-        wh.load(L.observations_from_documents(L.documents(batch)))
-        _mark_epoch(wh, epoch_id)
+        wh.load(L.observations_from_documents(L.documents(batch)), load_id=batch_load_id(checkpoint, epoch_id))
 
     writer = raw.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
