@@ -1,9 +1,10 @@
-"""Model queries of the contract (rows-only: iterative ML has no SQL form).
+"""Model queries of the contract.
 
 Each trains on the model input derived from the driver tables (via the
-warehouse star schema) with fixed seeds and returns a small result frame.
-The feature preparation and split they rest on (model_input, hash_split,
-correlation_long) are SQL-checked in ``wagelens.contract``.
+warehouse star schema) with fixed seeds and returns a small result frame.  A
+fit is made once per session and folder and shared by the queries that need it.
+Scores have no SQL form; what SQL can state about the results (test rows,
+scored combinations, clustered rows) is checked by queries of its own.
 """
 
 from __future__ import annotations
@@ -11,54 +12,76 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wagelens.operators import models as M
 from wagelens.plans import gold as G
 
+LINEAR, FOREST = "Regresión Lineal", "Random Forest"
+_FITS: dict[tuple, object] = {}
 
-def _input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from wagelens.contract import star
-    return G.model_input(star(spark, sf_dir))
+
+def _shared(spark: SparkSession, sf_dir: str, name: str, fit: Callable):
+    """fit(model input), once per session, folder and name."""
+    from wagelens.contract import star, warehouse
+    wh, _ = warehouse(spark, sf_dir)
+    key = (wh.root, name)
+    if key not in _FITS:
+        _FITS[key] = fit(G.model_input(star(spark, sf_dir)))
+    return _FITS[key]
+
+
+def _linear(spark, sf_dir):
+    return _shared(spark, sf_dir, "linear", lambda df: M.fit_and_score(M.linear_regression(), df, LINEAR))
+
+
+def _forest(spark, sf_dir):
+    return _shared(spark, sf_dir, "forest", lambda df: M.fit_and_score(M.random_forest(), df, FOREST))
+
+
+def _clusters(spark, sf_dir):
+    return _shared(spark, sf_dir, "kmeans", M.kmeans_clusters)
 
 
 def q_linear_regression_scores(spark, sf_dir):
-    df = _input(spark, sf_dir)
-    _, _, scores = M.fit_and_score(M.linear_regression(), df, "Regresion Lineal")
-    return scores
+    return _linear(spark, sf_dir)[2]
 
 
 def q_actual_vs_predicted(spark, sf_dir):
-    df = _input(spark, sf_dir)
-    _, pred, _ = M.fit_and_score(M.linear_regression(), df, "Regresion Lineal")
-    return M.actual_vs_predicted(pred)
+    return M.actual_vs_predicted(_linear(spark, sf_dir)[1])
+
+
+def q_model_test_actuals(spark, sf_dir):
+    """Actual wages of the test rows that have a prediction."""
+    return M.actual_vs_predicted(_linear(spark, sf_dir)[1]).where(F.col("predicho").isNotNull()).select("real")
 
 
 def q_forest_scores(spark, sf_dir):
-    df = _input(spark, sf_dir)
-    _, _, scores = M.fit_and_score(M.random_forest(), df, "Random Forest")
-    return scores
+    return _forest(spark, sf_dir)[2]
 
 
 def q_feature_importance(spark, sf_dir):
-    df = _input(spark, sf_dir)
-    train, _ = M.train_test(df)
-    model = M.random_forest().fit(train)
-    return M.feature_importance(model, train)
+    from wagelens.contract import star
+    return M.feature_importance(_forest(spark, sf_dir)[0], G.model_input(star(spark, sf_dir)))
 
 
 def q_model_comparison(spark, sf_dir):
-    return M.model_comparison(_input(spark, sf_dir))
+    small = _shared(spark, sf_dir, "forest50", lambda df: M.fit_and_score(M.random_forest(trees=50, depth=30, min_instances=1), df, FOREST))
+    both = _linear(spark, sf_dir)[2].unionByName(small[2])
+    return both.where(F.col("metrica") == "r2").select("modelo", F.col("valor").alias("r2"))
 
 
 def q_kmeans_clusters(spark, sf_dir):
-    labelled, _, _ = M.kmeans_clusters(_input(spark, sf_dir))
-    return labelled
+    return _clusters(spark, sf_dir)[0]
+
+
+def q_cluster_rows(spark, sf_dir):
+    return _clusters(spark, sf_dir)[0].groupBy("cluster").agg(F.count("*").alias("n")).agg(F.sum("n").alias("filas"))
 
 
 def q_silhouette(spark, sf_dir):
-    _, sil, model = M.kmeans_clusters(_input(spark, sf_dir))
+    _, sil, model = _clusters(spark, sf_dir)
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("silhouette", T.DoubleType())])
     return spark.createDataFrame([(len(model.clusterCenters()), sil)], schema)
 
@@ -66,20 +89,25 @@ def q_silhouette(spark, sf_dir):
 def q_score_batch(spark, sf_dir):
     from wagelens.contract import star
     app = G.app_input(star(spark, sf_dir))
-    model = M.app_forest().fit(app)
-    combos = app.select(*M.APP_CATEGORICALS).distinct()
-    return M.score_batch(model, combos)
+    model = _shared(spark, sf_dir, "app", lambda _: M.app_forest().fit(M.settled(app)))
+    return M.score_batch(model, app.select(*M.APP_CATEGORICALS).distinct())
+
+
+def q_score_batch_levels(spark, sf_dir):
+    """The combinations that got a score."""
+    return q_score_batch(spark, sf_dir).where(F.col("salario_estimado").isNotNull()).select(*M.APP_CATEGORICALS)
 
 
 MODEL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "linear_regression_scores": q_linear_regression_scores,
     "actual_vs_predicted": q_actual_vs_predicted,
+    "model_test_actuals": q_model_test_actuals,
     "forest_scores": q_forest_scores,
     "feature_importance": q_feature_importance,
     "model_comparison": q_model_comparison,
     "kmeans_clusters": q_kmeans_clusters,
+    "cluster_rows": q_cluster_rows,
     "silhouette": q_silhouette,
     "score_batch": q_score_batch,
+    "score_batch_levels": q_score_batch_levels,
 }
-
-

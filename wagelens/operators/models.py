@@ -31,6 +31,11 @@ MODEL_NUMERIC = ["anio", "sexo_num"]
 APP_CATEGORICALS = ["sector_cnae", "sexo", "comunidad"]
 CLUSTER_FEATURES = ["salario", "sexo_num", "anio"]
 LABEL = "salario"
+# The tuned forest splits nodes of 5 rows and more.  Spark bounds the children instead: at 2 rows a child, nodes of
+# fewer than 4 rows are never split, so a node of 4 may be and one of 5 may not be cut 1 : 4.
+MIN_INSTANCES = 2
+# Partitions of the rows a model is fitted on (forest bagging depends on them).
+FIT_PARTITIONS = 8
 
 
 # ------------------------------------------------------------------ A11
@@ -46,7 +51,7 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     aggs += [F.covar_pop(a, b).alias(f"cv__{a}__{b}") for a, b in pairs]
     row = df.agg(*aggs)
-    out = []
+    cells = []
     for a in cols:
         for b in cols:
             sd_a, sd_b = F.col(f"sd__{a}"), F.col(f"sd__{b}")
@@ -55,11 +60,8 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             else:
                 cv = F.col(f"cv__{a}__{b}") if f"cv__{a}__{b}" in row.columns else F.col(f"cv__{b}__{a}")
                 value = F.when((sd_a > 0) & (sd_b > 0), cv / (sd_a * sd_b))
-            out.append(row.select(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), value.alias("corr")))
-    result = out[0]
-    for o in out[1:]:
-        result = result.unionByName(o)
-    return result
+            cells.append(F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), value.alias("corr")))
+    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
 # ------------------------------------------------------------------ M3
@@ -80,8 +82,14 @@ def with_split(df: DataFrame, test_fraction: float = C.TEST_FRACTION) -> DataFra
     return df.withColumn("en_test", bucket < F.lit(int(round(test_fraction * 100))))
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The rows dealt and ordered by their md5 key, so a fit doesn't depend on how they came."""
+    key = F.md5(split_key(df))
+    return df.withColumn("_key", key).repartition(FIT_PARTITIONS, "_key").sortWithinPartitions("_key").drop("_key")
+
+
 def train_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    s = with_split(df)
+    s = with_split(settled(df))
     return s.where(~F.col("en_test")).drop("en_test"), s.where(F.col("en_test")).drop("en_test")
 
 
@@ -95,7 +103,7 @@ def encoder_stages(categoricals: Sequence[str], numeric: Sequence[str], features
     if categoricals:
         stages.append(StringIndexer(inputCols=list(categoricals), outputCols=idx, handleInvalid="keep",
                                     stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="error"))
     stages.append(VectorAssembler(inputCols=list(numeric) + ohe, outputCol=features))
     return stages
 
@@ -123,7 +131,7 @@ def linear_regression(categoricals=MODEL_CATEGORICALS, numeric=MODEL_NUMERIC) ->
                     + [LinearRegression(featuresCol="features", labelCol=LABEL, regParam=0.0)])
 
 
-def random_forest(trees: int = 200, depth: int = 10, min_instances: int = 1,
+def random_forest(trees: int = 200, depth: int = 10, min_instances: int = MIN_INSTANCES,
                   categoricals=MODEL_CATEGORICALS, numeric=MODEL_NUMERIC) -> Pipeline:
     rf = RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=trees, maxDepth=depth,
                                minInstancesPerNode=min_instances, featureSubsetStrategy="all",
@@ -162,8 +170,8 @@ def feature_importance(model: PipelineModel, df: DataFrame, top: int = 10) -> Da
 
 def model_comparison(df: DataFrame) -> DataFrame:
     """R2 of linear regression vs a 50-tree forest of unbounded (max 30) depth."""
-    _, _, lr = fit_and_score(linear_regression(), df, "Regresion Lineal")
-    _, _, rf = fit_and_score(random_forest(trees=50, depth=30), df, "Random Forest")
+    _, _, lr = fit_and_score(linear_regression(), df, "Regresión Lineal")
+    _, _, rf = fit_and_score(random_forest(trees=50, depth=30, min_instances=1), df, "Random Forest")
     return lr.unionByName(rf).where(F.col("metrica") == "r2").select("modelo", F.col("valor").alias("r2"))
 
 
@@ -171,7 +179,7 @@ def model_comparison(df: DataFrame) -> DataFrame:
 
 
 def app_forest() -> Pipeline:
-    return random_forest(trees=100, depth=10, categoricals=APP_CATEGORICALS, numeric=[])
+    return random_forest(trees=100, depth=10, min_instances=1, categoricals=APP_CATEGORICALS, numeric=[])
 
 
 def score_batch(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -187,7 +195,7 @@ def kmeans_clusters(df: DataFrame, k: int = C.KMEANS_K, restarts: int = C.KMEANS
 
     Returns (labelled rows, silhouette, best model).
     """
-    assembled = VectorAssembler(inputCols=CLUSTER_FEATURES, outputCol="raw").transform(df)
+    assembled = VectorAssembler(inputCols=CLUSTER_FEATURES, outputCol="raw").transform(settled(df))
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(assembled)
     X = scaler.transform(assembled).persist()
     try:
