@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagelens import constants as C
+from wagelens import schemas as S
 from wagelens.plans import extensions as X
 from wagelens.plans import gold as G
 from wagelens.plans import ingest as I
@@ -35,6 +36,7 @@ TREND_REGIONS = ["Andalucía", "Cataluña", "Galicia", "Madrid, Comunidad de"]
 RANK_YEARS = [1997, 1999]
 RANK_SEXES = ["Hombres", "Mujeres"]
 RANK_SECTORS = ["AUTOMOBILE", "BUILDING", "MACHINERY"]
+UNKNOWN_CODE = 99999
 APP_REGION = "Madrid, Comunidad de"
 
 
@@ -81,12 +83,21 @@ def parts(spark: SparkSession, sf_dir: str) -> G.GoldParts:
     return G.gold_parts(star(spark, sf_dir))
 
 
+def dashboard_parts(spark: SparkSession, sf_dir: str) -> G.GoldParts:
+    """The dashboard's cleaning: sectors as stored, not stripped."""
+    return G.gold_parts(star(spark, sf_dir), strip_sector=False)
+
+
 # ------------------------------------------------------------------ gold and summaries
 
 
 def q_price_index_general(spark, sf_dir):
-    p = parts(spark, sf_dir)
-    return p.index.select("valor_ipc", "categoria_gasto", "fecha_iso", "indicador")
+    return SM.price_series(parts(spark, sf_dir).index)
+
+
+def q_price_series_filtered(spark, sf_dir):
+    """Dashboard price chart: the year filter, every row, sorted by date."""
+    return SM.price_series(dashboard_parts(spark, sf_dir).index, TREND_YEARS)
 
 
 def q_price_chart(spark, sf_dir):
@@ -110,7 +121,7 @@ def q_wage_trend_region(spark, sf_dir):
 
 
 def q_year_filtered_trend(spark, sf_dir):
-    return _rounded(SM.wage_trend_region(parts(spark, sf_dir), TREND_YEARS, TREND_REGIONS), ["valor_salario"])
+    return _rounded(SM.wage_trend_region(dashboard_parts(spark, sf_dir), TREND_YEARS, TREND_REGIONS), ["valor_salario"])
 
 
 def q_purchasing_power_rank(spark, sf_dir):
@@ -118,7 +129,7 @@ def q_purchasing_power_rank(spark, sf_dir):
 
 
 def q_purchasing_power_filtered(spark, sf_dir):
-    out = SM.purchasing_power_rank(parts(spark, sf_dir), RANK_YEARS, RANK_SEXES, RANK_SECTORS)
+    out = SM.purchasing_power_rank(dashboard_parts(spark, sf_dir), RANK_YEARS, RANK_SEXES, RANK_SECTORS)
     return _rounded(out, ["ratio_poder_adquisitivo"])
 
 
@@ -127,11 +138,11 @@ def q_region_summary(spark, sf_dir):
 
 
 def q_region_map(spark, sf_dir):
-    return _rounded(SM.region_map(parts(spark, sf_dir)), ["salario_medio", "poder_adquisitivo"])
+    return _rounded(SM.region_map(dashboard_parts(spark, sf_dir)), ["salario_medio", "poder_adquisitivo"])
 
 
 def q_dashboard_kpis(spark, sf_dir):
-    return _rounded(SM.dashboard_kpis(parts(spark, sf_dir)), ["valor"])
+    return _rounded(SM.dashboard_kpis(dashboard_parts(spark, sf_dir)), ["valor"])
 
 
 def _app(spark, sf_dir):
@@ -156,7 +167,7 @@ def q_gender_gap(spark, sf_dir):
 
 def q_distinct_filters(spark, sf_dir):
     s = star(spark, sf_dir)
-    return SM.distinct_filters(G.gold_parts(s), G.app_input(s))
+    return SM.distinct_filters(G.gold_parts(s, strip_sector=False), G.app_input(s))
 
 
 # ------------------------------------------------------------------ ingestion
@@ -204,16 +215,12 @@ def q_null_key_load(spark, sf_dir):
 def q_reload_idempotent(spark, sf_dir):
     p = parsed(spark, sf_dir)
     once = star(spark, sf_dir)
-    twice = once.union(I.load_delta(p, once))
-    out = None
-    for name in ["tbl_periodo", "tbl_indicador", "tbl_geografia", "T_precios", "T_salarios", "T_empleo"]:
-        a = once.table(name).agg(F.count(F.lit(1)).alias("filas_una_carga"))
-        b = twice.table(name).agg(F.count(F.lit(1)).alias("filas_dos_cargas"))
-        # two single-row aggregates side by side, keyed by the table name
-        row = a.select(F.lit(name).alias("tabla"), "filas_una_carga").join(
-            b.select(F.lit(name).alias("tabla"), "filas_dos_cargas"), "tabla")
-        out = row if out is None else out.unionByName(row)
-    return out
+    again = I.load_delta(p, once)
+    marks = spark.createDataFrame([(n, 0, 0) for n in S.TABLES], "tabla string, una int, dos int")
+    for name in S.TABLES:  # one union of row marks, one aggregate
+        marks = marks.unionAll(once.table(name).select(F.lit(name), F.lit(1), F.lit(1)))
+        marks = marks.unionAll(again.table(name).select(F.lit(name), F.lit(0), F.lit(1)))
+    return marks.groupBy("tabla").agg(F.sum("una").alias("filas_una_carga"), F.sum("dos").alias("filas_dos_cargas"))
 
 
 def q_dimension_build(spark, sf_dir):
@@ -300,7 +307,7 @@ def _landed_lines(spark, sf_dir) -> str:
 
 
 def q_landing_roundtrip(spark, sf_dir):
-    return L.read_payload_lines(spark, _landed_lines(spark, sf_dir))
+    return L.read_payload_lines(spark, _landed_lines(spark, sf_dir), clean=True)
 
 
 def q_schema_report(spark, sf_dir):
@@ -313,10 +320,37 @@ def q_export_roundtrip(spark, sf_dir):
     return E.read_csv(spark, path, index.schema)
 
 
+def q_parquet_roundtrip(spark, sf_dir):
+    """The index series written as Parquet and read back."""
+    index = parts(spark, sf_dir).index.select("valor_ipc", "categoria_gasto", "fecha_iso", "indicador")
+    return E.read_parquet(spark, E.write_parquet(index, _scratch(spark, "export-ipc-parquet")))
+
+
+def q_reject_unknown_code(spark, sf_dir):
+    """The labour-cost rows under a code that no source has, rejected one by one."""
+    obs = D.observations(spark, sf_dir).where(F.col("code") == C.ETCL).withColumn("code", F.lit(UNKNOWN_CODE))
+    return I.parse(obs).rejects.groupBy("code", "reason").agg(F.count("*").alias("filas"))
+
+
+def q_typed_reread(spark, sf_dir):
+    """The master set re-read from text columns, dates and values cast back (NULL where they don't parse)."""
+    app = _app(spark, sf_dir)
+    text = E.read_csv(spark, E.write_csv(app, _scratch(spark, "export-text-csv")), "salario string, sector_cnae string, sexo string, comunidad string, fecha_iso string")
+    return text.select(F.col("salario").try_cast("double").alias("salario"), "sector_cnae", "sexo", "comunidad",
+                       F.try_to_date("fecha_iso", "yyyy-MM-dd").alias("fecha"))
+
+
+def q_schema_create(spark, sf_dir):
+    """Tables of a fresh warehouse after create-if-absent and one load of the price sources."""
+    wh = Warehouse(spark).create()
+    wh.load(D.observations(spark, sf_dir).where(F.col("code").isin(C.IPC, C.IPV)))
+    return wh.create().counts()
+
+
 def q_format_sizes(spark, sf_dir):
     relation = parts(spark, sf_dir).relation()
-    csv = E.write_csv(relation, _scratch(spark, "export-gold-csv"))
     pq = E.write_parquet(relation, _scratch(spark, "export-gold-parquet"))
+    csv = E.write_csv(E.read_parquet(spark, pq), _scratch(spark, "export-gold-csv"))  # the fan-out is built once
     return E.format_sizes(spark, csv, pq)
 
 
@@ -341,6 +375,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratio_stats_materialised": q_ratio_stats_materialised,
     "price_index_general": q_price_index_general,
     "price_chart": q_price_chart,
+    "price_series_filtered": q_price_series_filtered,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "reject_unknown_code": q_reject_unknown_code,
+    "typed_reread": q_typed_reread,
+    "schema_create": q_schema_create,
     "gold_relation": q_gold_relation,
     "wage_trend_region": q_wage_trend_region,
     "year_filtered_trend": q_year_filtered_trend,

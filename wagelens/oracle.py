@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from wagelens import constants as C
 from wagelens.contract import (
-    APP_REGION, DECIMALS, RANK_SECTORS, RANK_SEXES, RANK_YEARS, TREND_REGIONS, TREND_YEARS,
+    APP_REGION, DECIMALS, UNKNOWN_CODE, RANK_SECTORS, RANK_SEXES, RANK_YEARS, TREND_REGIONS, TREND_YEARS,
 )
 from wagelens.plans import extensions as X
 from wagelens.plans import summaries as SM
@@ -142,7 +142,7 @@ x2 AS (
   SELECT *,
     CASE WHEN family IS NULL THEN 'unknown_code'
          WHEN len(parts) < required_parts THEN 'short_name'
-         WHEN series_pos < 0 OR series_pos >= {C.POSITION_LIMIT} OR data_pos >= {C.POSITION_LIMIT - 1} THEN 'position_overflow' END AS series_reason,
+         END AS series_reason,
     CASE WHEN data_pos IS NULL THEN NULL
          WHEN anyo IS NULL THEN 'null_year'
          WHEN anyo < 1 OR anyo > 9999 THEN 'bad_year' END AS datum_reason
@@ -153,7 +153,7 @@ rej AS (
 m1 AS (
   SELECT *, {meta},
     (data_pos IS NOT NULL AND datum_reason IS NULL) AS has_datum,
-    CAST(source_rank AS BIGINT) * {1 << C.RANK_SHIFT} + series_pos * {1 << C.SERIES_SHIFT} AS series_ord
+    CAST(source_rank AS HUGEINT) * {10 ** C.RANK_DIGITS} + CAST(series_pos AS HUGEINT) * {10 ** C.DATUM_DIGITS} AS series_ord
   FROM x2 WHERE series_reason IS NULL),
 rows_ AS (
   SELECT code, series_pos, nombre, data_pos, anyo, fk_periodo, valor, family, target,
@@ -314,10 +314,10 @@ def _split_bucket() -> str:
 
 
 def _kpis() -> str:
-    return (f"SELECT 'ipc_actual' AS kpi, {_r('valor_ipc')} AS valor, format('{{:,.2f}}', valor_ipc) AS texto FROM "
+    return (f"SELECT 'ipc_actual' AS kpi, {_r('valor_ipc')} AS valor, format('{{:.2f}}', valor_ipc) AS texto FROM "
             "(SELECT valor_ipc FROM idx ORDER BY fecha_iso DESC, indicador DESC, valor_ipc DESC LIMIT 1)\n"
             f"UNION ALL SELECT 'salario_medio', {_r('avg(valor_salario)')}, format('{{:,.2f}}', avg(valor_salario)) FROM gold\n"
-            f"UNION ALL SELECT 'paro_medio', {_r('avg(valor_empleo)')}, format('{{:,.2f}}', avg(valor_empleo)) FROM gold")
+            f"UNION ALL SELECT 'paro_medio', {_r('avg(valor_empleo)')}, format('{{:.2f}}', avg(valor_empleo)) FROM gold")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -342,6 +342,24 @@ def oracle_sql() -> dict[str, str]:
         "price_index_general": "SELECT valor_ipc, categoria_gasto, fecha_iso, indicador FROM idx",
         "price_chart": ("SELECT fecha_iso, valor_ipc, categoria_gasto, indicador FROM (SELECT *, row_number() OVER "
                         "(PARTITION BY fecha_iso ORDER BY indicador, valor_ipc, categoria_gasto) AS rn FROM idx) WHERE rn = 1"),
+        "price_series_filtered": ("SELECT valor_ipc, categoria_gasto, fecha_iso, indicador FROM idx "
+                                  f"WHERE year(fecha_iso) IN {_in(TREND_YEARS)}"),
+        "parquet_roundtrip": "SELECT valor_ipc, categoria_gasto, fecha_iso, indicador FROM idx",
+        "reject_unknown_code": (f"SELECT {UNKNOWN_CODE} AS code, 'unknown_code' AS reason, count(*) AS filas FROM obs "
+                                f"WHERE code = {C.ETCL}"),
+        "typed_reread": "SELECT salario, sector_cnae, sexo, comunidad, CAST(fecha_iso AS DATE) AS fecha FROM app",
+        "schema_create": (
+            "SELECT 'tbl_periodo' AS tabla, count(DISTINCT fecha_iso) AS filas FROM rows_ WHERE family = 'precios' AND has_datum "
+            "UNION ALL SELECT 'tbl_indicador', count(DISTINCT indicador) FROM rows_ WHERE family = 'precios' "
+            "UNION ALL SELECT 'tbl_geografia', count(DISTINCT geografia) FROM rows_ WHERE family = 'precios' "
+            "UNION ALL SELECT 'T_precios', count(*) FROM f_precios "
+            "UNION ALL SELECT 'T_salarios', 0 UNION ALL SELECT 'T_empleo', 0"),
+        "schema_report": ("SELECT * FROM (VALUES ('code', 'INTEGER'), ('series_pos', 'INTEGER'), ('Nombre', 'STRING'), "
+                          "('Data', 'ARRAY'), ('Data[].Anyo', 'INTEGER'), ('Data[].FK_Periodo', 'INTEGER'), "
+                          "('Data[].Valor', 'FLOAT')) AS t(campo, tipo)"),
+        "model_test_actuals": f"SELECT salario AS \"real\" FROM mi WHERE {_split_bucket()} < {int(round(C.TEST_FRACTION * 100))}",
+        "score_batch_levels": "SELECT DISTINCT sector_cnae, sexo, comunidad FROM app",
+        "cluster_rows": "SELECT count(*) AS filas FROM mi",
         "gold_relation": "SELECT * FROM gold",
         "wage_trend_region": trend.format(extra=""),
         "year_filtered_trend": trend.format(
@@ -366,6 +384,7 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT 'anio_salario', CAST(year(fecha_iso) AS VARCHAR) FROM gold "
             f"UNION ALL SELECT 'comunidad', comunidad FROM gold WHERE comunidad <> {nat} "
             f"UNION ALL SELECT 'sector', sector_cnae FROM gold WHERE {not_total_sector} "
+            "UNION ALL SELECT 'sector_app', sector_cnae FROM app UNION ALL SELECT 'sexo_app', sexo FROM app "
             "UNION ALL SELECT 'comunidad_app', comunidad FROM app)"),
         "series_name_parse": f"SELECT DISTINCT code, series_pos, nombre, n_parts, {meta_cols} FROM rows_",
         "period_map": "SELECT id_periodo, anio, trimestre, mes, fecha_iso FROM dim_per",
@@ -396,17 +415,17 @@ def oracle_sql() -> dict[str, str]:
             "AND b.fecha_iso = CAST(a.fecha_iso - INTERVAL 1 YEAR AS DATE)"),
         "temporality_rate": (
             "SELECT p.fecha_iso, g.nombre AS geografia, f.sexo, "
-            + _r(f"CASE WHEN sum(f.valor) > 0 THEN 100.0 * sum(CASE WHEN f.tipo_contrato = {_q(X.TEMPORARY)} "
-                 "THEN f.valor ELSE 0.0 END) / sum(f.valor) END") + " AS tasa_temporalidad "
+            + _r(f"100.0 * sum(CASE WHEN f.tipo_contrato = {_q(X.TEMPORARY)} THEN f.valor ELSE 0.0 END) / nullif(coalesce("
+                 f"sum(f.valor) FILTER (WHERE f.tipo_contrato = {_q(C.TOTAL)}), sum(f.valor)), 0)") + " AS tasa_temporalidad "
             "FROM f_empleo f JOIN dim_ind i USING (id_indicador) JOIN dim_per p USING (id_periodo) "
             "JOIN dim_geo g USING (id_geografia) "
-            f"WHERE i.nombre = {_q(X.TEMPORALITY)} AND f.tipo_jornada = {_q(X.FULL_TIME)} "
+            f"WHERE i.nombre = {_q(X.TEMPORALITY)} AND contains(lower(f.tipo_jornada), 'completa') "
             "GROUP BY p.fecha_iso, g.nombre, f.sexo"),
         "wage_cost_only": (
             "SELECT fecha_iso, geografia, sector_cnae, valor FROM ("
             "SELECT *, row_number() OVER (PARTITION BY fecha_iso, indicador, geografia, sexo, sector_cnae, ocupacion_cno11 "
             f"ORDER BY ord) AS rn FROM rows_ WHERE {wc_keep} AND target = 'T_salarios' AND has_datum AND valor IS NOT NULL) "
-            f"WHERE rn = 1 AND sexo = {_q(C.DEFAULT_WAGE_SEX)}"),
+            f"WHERE rn = 1 AND code = {C.ETCL}"),
         "wages_by_sector_dataset": (f"SELECT sector_cnae, {_r('avg(valor_salario)')} AS salario_medio FROM gold "
                                     "GROUP BY sector_cnae"),
         "model_rows_clean": (f"SELECT * FROM mi WHERE comunidad <> {nat} AND sector_cnae <> {_q(C.TOTAL)} "

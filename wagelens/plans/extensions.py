@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 
 from wagelens import constants as C
 from wagelens.operators import factorised as FZ
+from wagelens.operators.dedup import first_wins
 from wagelens.plans import gold as G
 from wagelens.plans import ingest as I
 from wagelens.plans import summaries as SM
 
 WAGE_COST_WORD = "salarial"            # D3: "Coste salarial ..." kept, "Coste laboral ..." dropped
-FULL_TIME = "Jornada completa"         # D4
+FULL_TIME_WORD = "completa"            # D4: "Jornada completa", "Completa"
 TEMPORARY = "Temporal"                 # D4
 TEMPORALITY = "Temporalidad"           # D4 indicator name
-BOTH_SEXES = ["Ambos", "Ambos sexos"]  # D1/D6: aggregate sex labels
+BOTH_SEXES = ["Ambos", "Ambos sexos", C.TOTAL]  # D1/D6: aggregate sex labels
 
 
 def wage_share(parts: G.GoldParts) -> DataFrame:
@@ -46,25 +47,31 @@ def wage_cost_only(rows: DataFrame) -> DataFrame:
     rows (sex defaulted to 'Ambos') with their names.  ``rows`` are parsed rows
     (``ingest.parse(...).rows``).
     """
-    keep = ~((F.col("code") == C.ETCL) & F.col("has_datum")
-             & ~F.lower(F.coalesce(F.col("meta_indicador"), F.lit(""))).contains(WAGE_COST_WORD))
-    s = I.build_star(rows.where(keep))
-    per = s.periodo.select("id_periodo", "fecha_iso")
-    geo = s.geografia.select("id_geografia", F.col("nombre").alias("geografia"))
-    return (s.salarios.where(F.col("sexo") == C.DEFAULT_WAGE_SEX)
-            .join(per, "id_periodo").join(geo, "id_geografia")
-            .select("fecha_iso", "geografia", "sector_cnae", "valor"))
+    other_measure = ((F.col("code") == C.ETCL)
+                     & ~F.lower(F.coalesce(F.col("meta_indicador"), F.lit(""))).contains(WAGE_COST_WORD))
+    wages = rows.where((F.col("family") == C.WAGES) & F.col("has_datum") & F.col("valor").isNotNull() & ~other_measure)
+    keys = ["fecha_iso", "indicador", "geografia", "sexo", "sector_cnae", "ocupacion_cno11"]
+    # the natural keys stand for the ids, so no dimension is built
+    firsts = first_wins(wages.select(*keys, "valor", "code", "ord"), keys, ["valor", "code"])
+    return firsts.where(F.col("code") == C.ETCL).select("fecha_iso", "geografia", "sector_cnae", "valor")
 
 
 def temporality_rate(star: I.Star) -> DataFrame:
-    """Temporary / all full-time employees (%), by date, region and sex."""
+    """Temporary / all full-time employees (%), by date, region and sex.
+
+    All employees are the 'Total' contract row where there is one, else the sum
+    of the contract types.
+    """
     per = star.periodo.select("id_periodo", "fecha_iso")
     ind = F.broadcast(star.indicador.where(F.col("nombre") == TEMPORALITY).select("id_indicador"))
     geo = star.geografia.select("id_geografia", F.col("nombre").alias("geografia"))
-    rows = (star.empleo.join(ind, "id_indicador").where(F.col("tipo_jornada") == FULL_TIME)
+    rows = (star.empleo.join(ind, "id_indicador")
+            .where(F.lower("tipo_jornada").contains(FULL_TIME_WORD))
             .join(per, "id_periodo").join(geo, "id_geografia"))
     temp = F.sum(F.when(F.col("tipo_contrato") == TEMPORARY, F.col("valor")).otherwise(F.lit(0.0)))
-    out = rows.groupBy("fecha_iso", "geografia", "sexo").agg(temp.alias("t"), F.sum("valor").alias("total"))
+    is_total = F.coalesce(F.col("tipo_contrato") == C.TOTAL, F.lit(False))
+    stated, summed = F.sum(F.when(is_total, F.col("valor"))), F.sum(F.when(~is_total, F.col("valor")))
+    out = rows.groupBy("fecha_iso", "geografia", "sexo").agg(temp.alias("t"), F.coalesce(stated, summed).alias("total"))
     return out.select("fecha_iso", "geografia", "sexo",
                       F.when(F.col("total") > 0, F.lit(100.0) * F.col("t") / F.col("total"))
                       .alias("tasa_temporalidad"))

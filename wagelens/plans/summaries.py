@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,12 @@ def price_chart(index: DataFrame) -> DataFrame:
             .orderBy("fecha_iso"))
 
 
+def price_series(index: DataFrame, years: Iterable | None = None) -> DataFrame:
+    """Dashboard form of the price chart: every index row of the chosen years, sorted by date (not deduplicated)."""
+    return (index.where(isin_unless_all(F.year("fecha_iso"), years))
+            .select("valor_ipc", "categoria_gasto", "fecha_iso", "indicador").orderBy("fecha_iso", "indicador", "valor_ipc"))
+
+
 # ------------------------------------------------------------------ Q9
 
 
@@ -142,9 +148,10 @@ def dashboard_kpis(parts: GoldParts, method: str = FACTORISED) -> DataFrame:
         means = b.agg((F.sum("sum_wage") / F.sum("n")).alias("w"),
                       (F.sum("sum_unemployment") / F.sum("n")).alias("e"))
     kpis = (latest_index(parts.index).select(F.lit("ipc_actual").alias("kpi"), "valor")
-            .unionByName(means.select(F.lit("salario_medio").alias("kpi"), F.col("w").alias("valor")))
-            .unionByName(means.select(F.lit("paro_medio").alias("kpi"), F.col("e").alias("valor"))))
-    return kpis.withColumn("texto", kpi_format(F.col("valor"), 2))
+            .unionByName(means.selectExpr("stack(2, 'salario_medio', w, 'paro_medio', e) AS (kpi, valor)")))
+    wage = F.col("kpi") == "salario_medio"  # only the wage is shown with thousands separators
+    return kpis.withColumn("texto", F.when(wage, kpi_format(F.col("valor"), 2))
+                           .otherwise(F.format_string("%.2f", F.col("valor"))))
 
 
 # ------------------------------------------------------------------ Q8, Q10 (app)
@@ -187,16 +194,17 @@ def distinct_filters(parts: GoldParts, app: DataFrame) -> DataFrame:
     """Sorted option lists of the dashboard/app selectors, long form (filtro, valor)."""
     gold_keys = FZ.blocks(parts.wages, parts.index, parts.paro, ["sector_cnae", "comunidad"]) \
         .select("fecha_iso", "sector_cnae", "comunidad").distinct()
-    opts = [
-        parts.index.select(F.lit("anio_ipc").alias("filtro"), F.year("fecha_iso").cast("string").alias("valor")),
-        gold_keys.select(F.lit("anio_salario").alias("filtro"), F.year("fecha_iso").cast("string").alias("valor")),
-        gold_keys.where(F.col("comunidad") != C.NATIONAL_TOTAL)
-        .select(F.lit("comunidad").alias("filtro"), F.col("comunidad").alias("valor")),
-        gold_keys.where((F.col("sector_cnae") != C.TOTAL) & (F.col("sector_cnae") != C.NOT_AVAILABLE))
-        .select(F.lit("sector").alias("filtro"), F.col("sector_cnae").alias("valor")),
-        app.select(F.lit("comunidad_app").alias("filtro"), F.col("comunidad").alias("valor")),
-    ]
-    out = opts[0]
-    for o in opts[1:]:
-        out = out.unionByName(o)
-    return out.distinct().orderBy("filtro", "valor")
+    def option(name: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("filtro"), value.cast("string").alias("valor"))
+
+    def options(df: DataFrame, *pairs: Column) -> DataFrame:
+        """All lists of one frame in one pass; options that don't apply are NULL."""
+        return df.select(F.explode(F.array(*pairs)).alias("o")).where(F.col("o").isNotNull()).select("o.filtro", "o.valor")
+
+    sector = F.col("sector_cnae")
+    gold = options(gold_keys, option("anio_salario", F.year("fecha_iso")),
+                   F.when(F.col("comunidad") != C.NATIONAL_TOTAL, option("comunidad", F.col("comunidad"))),
+                   F.when((sector != C.TOTAL) & (sector != C.NOT_AVAILABLE), option("sector", sector)))
+    index = options(parts.index, option("anio_ipc", F.year("fecha_iso")))
+    own = options(app, option("comunidad_app", F.col("comunidad")), option("sector_app", sector), option("sexo_app", F.col("sexo")))
+    return gold.unionByName(index).unionByName(own).distinct().orderBy("filtro", "valor")
