@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wagelens.llm.shared import written
-from wagelens.llm.text_kernel import string_chunks
+from wagelens.llm.text_kernel import Words, words_of
 
 CAPACITY = 2048
 UNIT = 8
@@ -36,11 +36,14 @@ END_ID = 1
 SALTS = 128
 GAP = 1e-3
 PATIENCE = 60
-#: Words whose ids one worker keeps at a time.
-CACHED_WORDS = 500_000
+#: Words and word pieces whose ids one worker keeps at a time.
+CACHED_WORDS = 1_000_000
 
-# The pre-tokenizer of the vocabulary file, restricted to lower-cased printable ASCII words.
-ASCII_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
+CACHED_PIECES = 600_000
+
+# The pre-tokenizer of the vocabulary file, restricted to lower-cased printable ASCII and Latin-1 letters.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+"
+PLAIN = r"[!-~À-ÖØ-öø-ÿ]+"
 
 
 def default_tokenizer() -> str:
@@ -60,45 +63,48 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.normal, self.pre = self.tokenizer.model, self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
-        self.ascii_pieces = re.compile(ASCII_PIECES).findall
-        self.printable = re.compile(rb"[!-~]+").fullmatch
+        self.split, self.plain = re.compile(PIECES).findall, re.compile(PLAIN).fullmatch
+        # the byte-level spelling of the accented letters, as the library gives it
+        self.spelling = {c: "".join(p for p, _ in self.pre.pre_tokenize_str(chr(c))) for c in range(0xDF, 0x100) if c != 0xF7}
+        self.pieces: dict[str, tuple[int, ...]] = {}
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.pool = np.array([END_ID], dtype=np.uint32)
-        self.first = np.zeros(1, dtype=np.int64)
-        self.size = np.ones(1, dtype=np.int64)
+        self.pool = np.zeros(0, dtype=np.uint32)
+        self.first = np.zeros(0, dtype=np.int64)
+        self.size = np.zeros(0, dtype=np.int64)
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> tuple[int, ...]:
         ids = self.pieces.get(piece)
         if ids is None:
-            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(piece)]
+            if len(self.pieces) >= CACHED_PIECES:
+                self.pieces.clear()
+            ids = self.pieces[piece] = tuple([t.id for t in self.model.tokenize(piece)])
         return ids
 
-    def _word(self, word: bytes) -> list[int]:
+    def _word(self, word: bytes) -> tuple[int, ...] | list[int]:
         text = word.decode()
         if "<|" in text:
             return self.tokenizer.encode(text, add_special_tokens=False).ids
-        if self.printable(word):
-            pieces = self.ascii_pieces(text.lower())
+        if self.plain(text):
+            pieces = self.split(text.lower())
+            if not text.isascii():
+                pieces = [p.translate(self.spelling) for p in pieces]
         else:
             pieces = [p for p, _ in self.pre.pre_tokenize_str(self.normal.normalize_str(text))]
         if len(pieces) == 1:
             return self._piece(pieces[0])
         return [i for p in pieces for i in self._piece(p)]
 
-    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the texts one after the other, END_ID after each, and the texts' ends."""
+    def of(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the documents one after the other, END_ID after each, and the documents' ends."""
         if len(self.index) > CACHED_WORDS:
             self.clear()
-        split = [t.split() for t in texts]
-        counts = np.array([len(s) + 1 for s in split], dtype=np.int64)
-        words = [w for s in split for w in (*s, b"")]
-        index = self.index
-        index[b""] = 0
-        new = [w for w in set(words) if w not in index]
+        _, where, inverse = np.unique(words.word_hashes(), return_index=True, return_inverse=True)
+        raw, index = words.data.tobytes(), self.index
+        distinct = [raw[a:b] for a, b in zip(words.start[where].tolist(), words.end[where].tolist(), strict=True)]
+        new = [w for w in distinct if w not in index]
         if new:
             ids = [self._word(w) for w in new]
             size = np.array([len(x) for x in ids], dtype=np.int64)
@@ -107,11 +113,12 @@ class WordIds:
             self.first = np.append(self.first, len(self.pool) + np.cumsum(size) - size)
             self.size = np.append(self.size, size)
             self.pool = np.append(self.pool, np.array([i for x in ids for i in x], dtype=np.uint32))
-        at = np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))
+        at = np.fromiter(map(index.__getitem__, distinct), dtype=np.int64, count=len(distinct))[inverse]
         size, first = self.size[at], self.first[at]
-        ends = np.cumsum(size)
-        flat = self.pool[np.repeat(first - (ends - size), size) + np.arange(int(size.sum()))]
-        return flat, ends[np.cumsum(counts) - 1]
+        after = np.r_[0, np.cumsum(size)]
+        flat = self.pool[np.repeat(first - after[:-1], size) + np.arange(after[-1])]
+        ends = after[words.indptr[1:]]
+        return np.insert(flat, ends, np.uint32(END_ID)), ends + np.arange(1, len(ends) + 1)
 
 
 _word_ids: dict[str, WordIds] = {}
@@ -123,10 +130,9 @@ def _cut(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
         _word_ids[path] = encoder
         for batch in batches:
             doc, start, length, crc, total = [], [], [], [], []
-            for row, offsets, data in string_chunks(batch.column("text")):
-                raw = data.tobytes()
-                bounds = offsets.tolist()
-                ids, ends = encoder.of([raw[a:b] for a, b in zip(bounds, bounds[1:], strict=False)])
+            for words in words_of(batch.column("text")):
+                row = words.first
+                ids, ends = encoder.of(words)
                 buffer = memoryview(ids.astype("<u4")).cast("B")
                 begin = 0
                 for i, end in enumerate(ends.tolist()):
