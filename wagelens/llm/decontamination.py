@@ -96,6 +96,7 @@ class Phrases:
     item: np.ndarray
     length: np.ndarray
     term: np.ndarray
+    n_blocks: int = 1
 
 
 def phrases(item_ids: list, texts: list[str | None], window: int = WINDOW) -> Phrases:
@@ -139,11 +140,11 @@ def document_frequencies(index: DataFrame, vocabulary: np.ndarray) -> np.ndarray
 
 
 def match(p: Phrases, order: np.ndarray, doc_starts: np.ndarray, terms: np.ndarray, term_starts: np.ndarray,
-          positions: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(phrase, start) of every occurrence in one segment; order: per phrase its offsets, rarest term first."""
+          positions: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(phrase, start, document) of every occurrence in one segment; order: per phrase its offsets, rarest term first."""
     if not len(positions) or not len(p.item):
         none = np.zeros(0, dtype=np.int64)
-        return none, none
+        return none, none, none
     place = _find(terms, p.vocabulary)
     empty = len(terms)
     starts = np.append(term_starts, term_starts[-1]).astype(np.int64)
@@ -184,7 +185,7 @@ def match(p: Phrases, order: np.ndarray, doc_starts: np.ndarray, terms: np.ndarr
             ok = key[i] == wanted
         keep = ~todo | ((own >= 0) & ok)
         which, start, doc = which[keep], start[keep], doc[keep]
-    return which, start
+    return which, start, doc
 
 
 def _answers(shared, slop: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -193,21 +194,23 @@ def _answers(shared, slop: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
         for batch in batches:
             for ids, *arrays in zip(*(batch.column(c) for c in ("doc_ids", "doc_starts", "terms", "term_starts", "positions")), strict=True):
                 doc_starts, terms, term_starts, positions = (np.asarray(a.values) for a in arrays)
-                which, start = match(p, order, doc_starts.astype(np.int64), terms, term_starts, positions, slop)
+                which, start, doc = match(p, order, doc_starts.astype(np.int64), terms, term_starts, positions, slop)
                 n = int(doc_starts[-1])
+                # a proximity match may reach over its document's ends
+                stop = np.minimum(start + p.length[which], doc_starts[doc + 1])
+                start = np.maximum(start, doc_starts[doc])
                 edge = np.zeros(n + 1, dtype=np.int64)
-                np.add.at(edge, np.clip(start, 0, n), 1)
-                np.add.at(edge, np.clip(start + p.length[which], 0, n), -1)
+                np.add.at(edge, start, 1)
+                np.add.at(edge, stop, -1)
                 hit = np.r_[0, np.cumsum(np.cumsum(edge[:n]) > 0)]
                 n_hit = np.diff(hit[doc_starts])
-                doc = np.searchsorted(doc_starts, np.clip(start, 0, max(n - 1, 0)), side="right") - 1
                 pairs = np.unique(doc * np.int64(max(len(p.item_ids), 1)) + p.item[which])
                 found: list[list[str]] = [[] for _ in range(len(doc_starts) - 1)]
                 for x in pairs.tolist():
                     found[x // len(p.item_ids)].append(p.item_ids[x % len(p.item_ids)])
                 spans: list[list[int]] = [[] for _ in found]
-                for d, s, w in zip(doc.tolist(), (start - doc_starts[doc]).tolist(), which.tolist(), strict=True):
-                    spans[d].append((s << 24) + int(p.length[w]))
+                for d, s, size in zip(doc.tolist(), (start - doc_starts[doc]).tolist(), (stop - start).tolist(), strict=True):
+                    spans[d].append((s << 24) + size)
                 yield pa.RecordBatch.from_arrays(
                     [ids.values, pa.array(np.diff(doc_starts).astype(np.int64)), pa.array(n_hit.astype(np.int64)),
                      pa.array(found, pa.list_(pa.string())), pa.array([sorted(set(s)) for s in spans], pa.list_(pa.int64()))],
@@ -233,7 +236,9 @@ def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS, window: int = W
     part = benchmark.withColumn("_part", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
     for i in range(n):
         rows = part.filter(F.col("_part") == i).select("item_id", "text").collect() if n > 1 else benchmark.select("item_id", "text").collect()
-        yield phrases([r.item_id for r in rows], [r.text for r in rows], window)
+        found = phrases([r.item_id for r in rows], [r.text for r in rows], window)
+        found.n_blocks = n
+        yield found
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,21 +267,25 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, n_words, n_hit and items of every document."""
-    found = []
-    for p in blocks(benchmark, block_chars, window):
-        found.append(search(build_index(docs, p.vocabulary), p))
-    if len(found) == 1:
-        return found[0].drop("spans")
-    union = found[0].withColumn("block", F.lit(0))
-    for i, more in enumerate(found[1:], 1):
-        union = union.unionByName(more.withColumn("block", F.lit(i)))
-    # a document is answered once per block; identical ids share one answer, given back as often as they occur
-    merged = (union.groupBy("doc_id").agg(
+    keyed = repeats.keyed(docs.select("doc_id", "text"))
+    found = None
+    for i, p in enumerate(blocks(benchmark, block_chars, window)):
+        # the answers of several blocks meet again under the rows' keys
+        own = keyed.select(F.col(repeats.KEY).alias("doc_id"), "text") if p.n_blocks > 1 else docs
+        answer = search(build_index(own, p.vocabulary), p)
+        if p.n_blocks == 1:
+            return answer.drop("spans")
+        answer = answer.withColumn("block", F.lit(i))
+        found = answer if found is None else found.unionByName(answer)
+    # identical rows share a key and an answer, given back as often as they occur
+    merged = found.withColumnRenamed("doc_id", repeats.KEY).groupBy(repeats.KEY).agg(
         F.max("n_words").alias("n_words"), F.sum((F.col("block") == 0).cast("int")).alias("times"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"), F.lit(0).cast("long").alias("n_hit")))
-    answered = merged.mapInArrow(_merge, "doc_id long, n_words long, times long, items array<string>, n_hit long")
-    return answered.withColumn("_t", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc_id", "n_words", "n_hit", "items")
+        F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"), F.lit(0).cast("long").alias("n_hit"))
+    answered = merged.mapInArrow(_merge, f"{repeats.KEY} long, n_words long, times long, items array<string>, n_hit long")
+    ids = keyed.select(repeats.KEY, F.col("row")["doc_id"].cast("long").alias("doc_id")).distinct()
+    each = answered.join(ids, repeats.KEY).withColumn("_t", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return each.select("doc_id", "n_words", "n_hit", "items")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

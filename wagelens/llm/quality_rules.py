@@ -127,7 +127,7 @@ def compile_rules(rules: tuple[Rule, ...], measures: dict[str, Column]) -> Colum
     return F.coalesce(ok, F.lit(False))
 
 
-def with_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+def with_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     """The input's columns under one struct ``doc``, with the measures ``m`` beside it."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), measure(F.col(text)).alias("m"))
 
@@ -148,5 +148,5 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns as they were."""
     m = F.col("m")
     base = (m["w"]["n_words"] < 20) | (100 * m["w"]["n_repeat_words"] > 30 * m["w"]["n_words"])
-    good = with_quality(docs, rules).filter(~base & compile_rules(rules, ratios(m)))
+    good = with_quality(docs).filter(~base & compile_rules(rules, ratios(m)))
     return good.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
