@@ -38,7 +38,7 @@ def test_documents_are_validated_without_a_size_switch(spark):
     docs = L.observations_from_documents(L._documents(spark, d))
     assert [r.valor for r in docs.collect()] == [1.0]
     assert "parse_json" not in docs._jdf.queryExecution().analyzed().toString()
-    for text in ("", "[", "{not json", "[1, 2", '"text"', "17"):
+    for text in (" ", "[", "{not json", "[1, 2", '"text"', "17"):
         assert L.unreadable_files(spark, _land("50913.json", text)).count() == 1
     assert L.unreadable_files(spark, _land("50913.json", "[]")).count() == 0
 
