@@ -43,6 +43,7 @@ SHINGLE = 5
 ORDER_FROM = 8
 ORDER_ROWS = 1_000_000
 BUCKET_BITS, ORDER_BITS = 8, 40
+CODED_ROWS = 1_500_000
 #: Rows of keys up to which the texts needed are found by a broadcast join; beyond, by a shuffled one.
 BROADCAST_KEYS = 500_000
 
@@ -103,22 +104,33 @@ def _distinct_classes(sets: Sets, seen: set[int]) -> np.ndarray:
     return keep
 
 
+def _coded(parts: list[np.ndarray]) -> pa.RecordBatch:
+    """Per hash bucket: these shingles as sorted, delta-coded 32-bit values."""
+    values = np.concatenate(parts) >> np.uint64(64 - ORDER_BITS)
+    values.sort()
+    cuts = np.searchsorted(values >> np.uint64(ORDER_BITS - BUCKET_BITS), np.arange(2**BUCKET_BITS + 1, dtype=np.uint64))
+    rest = (values & np.uint64(2 ** (ORDER_BITS - BUCKET_BITS) - 1)).astype(np.uint32)
+    used = [b for b in range(2**BUCKET_BITS) if cuts[b] < cuts[b + 1]]
+    blobs = []
+    for b in used:
+        planes = np.diff(rest[cuts[b]: cuts[b + 1]], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T
+        blobs.append(zlib.compress(planes.tobytes(), 1))
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+
+
 def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch and hash bucket: its shingles as sorted, delta-coded 32-bit values."""
+    """Shingles of all classes of a batch, coded about CODED_ROWS at a time."""
     for batch in batches:
         seen: set[int] = set()
-        parts = [s.shingles[_distinct_classes(s, seen)[s.doc]] for s in shingle_sets(batch.column("text"))]
-        values = np.sort(np.concatenate(parts)) >> np.uint64(64 - ORDER_BITS) if parts else np.zeros(0, dtype=np.uint64)
-        bucket = values >> np.uint64(ORDER_BITS - BUCKET_BITS)
-        cuts = np.searchsorted(bucket, np.arange(2**BUCKET_BITS + 1, dtype=np.uint64))
-        rest = (values & np.uint64(2 ** (ORDER_BITS - BUCKET_BITS) - 1)).astype(np.uint32)
-        used = [b for b in range(2**BUCKET_BITS) if cuts[b] < cuts[b + 1]]
-        blobs = []
-        for b in used:
-            own = rest[cuts[b]: cuts[b + 1]]
-            planes = np.diff(own, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T
-            blobs.append(zlib.compress(planes.tobytes(), 1))
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+        parts, held = [], 0
+        for sets in shingle_sets(batch.column("text")):
+            parts.append(sets.shingles[_distinct_classes(sets, seen)[sets.doc]])
+            held += len(parts[-1])
+            if held >= CODED_ROWS:
+                yield _coded(parts)
+                parts, held = [], 0
+        if held:
+            yield _coded(parts)
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

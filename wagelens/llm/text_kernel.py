@@ -1,6 +1,6 @@
 """Numpy kernel shared by the text operators: words, word hashes, windows and minimisers of Arrow string batches.
 
-Works on whole texts.  A batch is cut into chunks of whole documents of about ``CHUNK_BYTES`` bytes (one longer
+Works on whole texts.  A batch is cut into chunks of whole documents of at most about ``CHUNK_BYTES`` bytes (one longer
 document is a chunk of its own), so memory follows the longest document and not the batch.
 
 * A word is a maximal run of bytes marked in a 256-entry table (multi-byte UTF-8 characters are runs of bytes
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE_VALUE = _rng.integers(1, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -47,7 +47,7 @@ def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^-i modulo 2^64 for i < n (kept and grown on demand)."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
+        size = 1 << max(16, n.bit_length())
         inverse = pow(base, -1, 2**64)
         tables = []
         for b in (base, inverse):
