@@ -207,7 +207,7 @@ def pivot_pairs(lists: DataFrame) -> DataFrame:
     """Each list entry with the list's pivot: the member that shares lists with most others."""
     whole = Window.partitionBy("h")
     sized = lists.withColumn("length", F.count("*").over(whole))
-    central = sized.groupBy("cls").agg(F.avg("length").alias("central"))
+    central = sized.groupBy("cls").agg(F.sum("length").alias("central"))
     head = F.max(F.struct("central", "cls", "n", "rank")).over(whole)
     paired = sized.join(central, "cls").withColumn("pivot", head)
     n, m = F.col("n"), F.col("pivot")["n"]
