@@ -37,9 +37,9 @@ SALTS = 128
 GAP = 1e-3
 PATIENCE = 60
 #: Words and word pieces whose ids one worker keeps at a time.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000
 
-CACHED_PIECES = 600_000
+CACHED_PIECES = 250_000
 
 # The pre-tokenizer of the vocabulary file, restricted to lower-cased printable ASCII and Latin-1 letters.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+"
