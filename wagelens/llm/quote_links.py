@@ -94,9 +94,12 @@ def reply_tree(messages: DataFrame, sources: DataFrame) -> DataFrame:
     now = written(now, "replies")
     while not now.filter("up is not null").isEmpty():
         further = now.select("conv_id", F.col("turn").cast("long").alias("up"), F.col("up").alias("up2"), F.col("root").alias("root2"), F.col("depth").alias("depth2"))
-        now = written(now.join(further, ["conv_id", "up"], "left").select(
+        # only messages that have not reached their root take part in a further step
+        moved = now.filter("up is not null").join(further, ["conv_id", "up"], "left").select(
             "conv_id", "turn", "reply_to", F.col("up2").alias("up"), F.coalesce("root2", "root").alias("root"),
-            (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")), "replies")
+            (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"))
+        arrived = now.filter("up is null").select("conv_id", "turn", "reply_to", "up", "root", "depth")
+        now = written(arrived.unionByName(moved), "replies")
     return now.select("conv_id", "turn", "reply_to", F.col("root").alias("thread_root"), "depth")
 
 
