@@ -136,6 +136,16 @@ def test_jaccard_keeps_one_of_each_component(docs, rows):
     assert Counter(r.doc_id for r in kept.collect()) == expected
 
 
+def test_jaccard_keeps_one_of_each_component_under_null_and_shared_ids(spark):
+    x, y, z, v = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyzv")
+    near = y.replace("y0 ", "other ")
+    rows = [(None, x), (None, x), (None, y), (None, near), (7, z), (7, z), (8, z), (7, v), (9, v), (None, "alone of all"), (7, "alone too")]
+    kept = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    group = {near: y}
+    assert Counter((r.doc_id, group.get(r.text, r.text)) for r in kept) == Counter(
+        [(None, x), (None, y), (7, z), (7, v), (None, "alone of all"), (7, "alone too")])
+
+
 def test_jaccard_order_is_only_a_heuristic(docs, rows, monkeypatch):
     monkeypatch.setattr(jaccard_join, "ORDER_ROWS", 0)
     sets, root, least = _components(rows)

@@ -269,7 +269,7 @@ def _texts(keyed: DataFrame, signatures: DataFrame, lists: DataFrame) -> DataFra
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows with their key, signature rows (written) and class -> component of the classes that have copies or links."""
+    """Rows with their key, signature rows (written) and class -> component, component_id of the classes that have copies or links."""
     keyed = repeats.keyed(docs)
     signatures = written(keyed.select(KEY, F.col("row")["doc_id"].cast("long").alias("doc_id"), "text")
                          .mapInArrow(_signatures, f"{KEY} long, doc_id long, n_shingles long, cls long"), "signatures")
@@ -285,7 +285,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     named = own.join(parts.withColumnRenamed("node", "cls"), "cls", "left").filter("n > 1 or component is not null")
     named = written(named.select("cls", "doc_id", F.coalesce("component", "cls").alias("component")), "classes")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return keyed, signatures, written(named.join(least, "component").select("cls", "component_id"), "class-components")
+    return keyed, signatures, written(named.join(least, "component").select("cls", "component", "component_id"), "class-components")
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -295,10 +295,13 @@ def linked(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The input without all but one document of each component (the smallest doc_id; of equal rows, one)."""
+    """The input without all but one document of each component (the smallest doc_id, null last; of equal rows, one).
+
+    Components are told apart by their own name: several may have no doc_id at all or the same least one.
+    """
     keyed, signatures, named = classes(docs)
     grouped = signatures.join(named, "cls").withColumn("ord", F.coalesce("doc_id", F.lit(2**63 - 1)))
-    stays = grouped.groupBy("component_id").agg(F.min(F.struct("ord", KEY)).alias("s")).select(F.col("s")[KEY].alias(KEY))
+    stays = grouped.groupBy("component").agg(F.min(F.struct("ord", KEY)).alias("s")).select(F.col("s")[KEY].alias(KEY))
     gone = written(grouped.select(KEY).distinct().join(stays, KEY, "left_anti"), "gone")
     again = written(signatures.filter("cls <> 0").groupBy(KEY).count().filter("count > 1").select(KEY), "again")
     few = gone.count() <= BROADCAST_KEYS
