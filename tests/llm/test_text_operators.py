@@ -187,6 +187,18 @@ def test_decontamination(spark, docs, rows, empty, block_chars):
     assert not any(r.contaminated for r in decontamination.report(docs, bench.limit(0)).collect())
 
 
+@pytest.mark.parametrize("block_chars", [decontamination.BLOCK_CHARS, 40])
+def test_decontamination_counts_an_item_once(spark, block_chars):
+    items = [(7, "alpha beta gamma"), (7, "alpha beta gamma"), (7, "delta epsilon"), (None, "alpha beta"), (None, "delta epsilon"), (8, "zeta")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(1, "alpha beta gamma delta epsilon"), (2, "zeta"), (None, "eta")], "doc_id long, text string")
+    got = {(r.doc_id, r.n_words, r.n_hit, tuple(sorted(r["items"]))) for r in decontamination.hits(docs, bench, block_chars=block_chars).collect()}
+    assert got == {(1, 5, 5, ("7", "null")), (2, 1, 1, ("8",)), (None, 1, 0, ())}
+    if block_chars > 40:
+        report = {r.doc_id: (r.n_items, r.items_sha256) for r in decontamination.report(docs, bench).collect()}
+        assert report[1] == (2, hashlib.sha256(b"7,null").hexdigest())
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "alpha x beta y gamma"), (3, "gamma beta alpha"), (4, "alpha beta")], "doc_id long, text string")
     p = decontamination.phrases([7], ["alpha beta gamma"], 10)

@@ -15,8 +15,9 @@ The benchmark is taken in blocks of at most ``BLOCK_CHARS`` characters, so what
 mean more passes over the index.
 
 Defined results: null or wordless texts have no words and no hits, wordless items no phrases; null item ids appear as
-``null`` in lists; repeated rows are answered alike; other columns are not read; with an empty benchmark no document
-has a hit; an empty document table gives an empty result.
+``null`` in lists; benchmark rows of one item id, or of none, count as one item; repeated rows are answered alike;
+other columns are not read; with an empty benchmark no document has a hit; an empty document table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -100,8 +101,10 @@ class Phrases:
 
 
 def phrases(item_ids: list, texts: list[str | None], window: int = WINDOW) -> Phrases:
-    """All windows of the items, once per item."""
+    """All windows of the items, once per item id: rows that share an id (or have none) are one item."""
     rows, items = [], []
+    names: dict[str, int] = {}
+    number = [names.setdefault("null" if x is None else str(x), len(names)) for x in item_ids]
     for words, term in _terms(pa.array(texts, pa.string())):
         for i in range(words.n_docs):
             own = term[words.indptr[i]: words.indptr[i + 1]]
@@ -109,14 +112,14 @@ def phrases(item_ids: list, texts: list[str | None], window: int = WINDOW) -> Ph
                 found = np.lib.stride_tricks.sliding_window_view(own, min(window, len(own)))
                 found = np.unique(found, axis=0)
                 rows.append(found)
-                items.extend([words.first + i] * len(found))
+                items.extend([number[words.first + i]] * len(found))
     vocabulary = np.unique(np.concatenate([r.ravel() for r in rows])) if rows else np.zeros(0, dtype=np.int64)
     term = np.full((len(items), window), -1, dtype=np.int64)
     at = 0
     for r in rows:
         term[at: at + len(r), : r.shape[1]] = _find(vocabulary, r.ravel()).reshape(r.shape)
         at += len(r)
-    return Phrases(["null" if x is None else str(x) for x in item_ids], vocabulary, np.array(items, dtype=np.int64),
+    return Phrases(list(names), vocabulary, np.array(items, dtype=np.int64),
                    (term >= 0).sum(axis=1), term)
 
 
