@@ -146,6 +146,23 @@ def test_jaccard_keeps_one_of_each_component_under_null_and_shared_ids(spark):
         [(None, x), (None, y), (7, z), (7, v), (None, "alone of all"), (7, "alone too")])
 
 
+@pytest.mark.parametrize("block_shingles", [jaccard_join.BLOCK_SHINGLES, 900])
+def test_jaccard_loses_no_link(docs, rows, empty, monkeypatch, block_shingles):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block_shingles)
+    sets, root, least = _components(rows)
+    other = [{frozenset(b) for b in sets if b != a and a and 100 * len(a & b) >= 80 * len(a | b)} for a in sets]
+    expected = Counter((d, len(sets[i]), least[root[i]], len(other[i])) for i, (d, _) in enumerate(rows))
+    assert max(k[3] for k in expected) > 2
+    assert Counter(tuple(r) for r in jaccard_join.counted(docs).collect()) == expected
+    pairs, members = jaccard_join.link_pairs(docs)
+    pairs = [(r.a, r.b) for r in pairs.collect()]
+    assert len(set(pairs)) == len(pairs) == len({frozenset((frozenset(a), b)) for a, o in zip(sets, other, strict=True) for b in o})
+    n = Counter(c for p in pairs for c in p)
+    assert Counter((r.doc_id, r.n_shingles, n[r.cls]) for r in members.collect()) == Counter(
+        (d, len(sets[i]), len(other[i])) for i, (d, _) in enumerate(rows))
+    assert jaccard_join.counted(empty).count() == 0
+
+
 def test_jaccard_order_is_only_a_heuristic(docs, rows, monkeypatch):
     monkeypatch.setattr(jaccard_join, "ORDER_ROWS", 0)
     sets, root, least = _components(rows)

@@ -15,7 +15,11 @@ sizes), that is Jaccard >= 0.8.  Equal sets form a class; everything below works
 * Long lists: a candidate's remaining shingles are probed by binary search in the other's sorted set, and the overlap is
   counted exactly.
 
-Links inside a component that is already connected are not looked for; components are exact.
+Components are exact without the links inside a component that is already connected; ``linked`` does not look for
+those.  ``link_pairs`` and ``counted`` find every link: a component is dealt into blocks of about ``BLOCK_SHINGLES``
+shingles, blocks that meet on a short list are paired (all links share one), and a pair of blocks counts the overlaps of
+all its sets at once.  Hot lists cost pairs of blocks, not pairs of classes, and texts travel once a pair of blocks.
+Links are between classes; a class's copies are its members and no links.  ``counted`` adds them up inside the tasks.
 
 Defined results: null, empty and wordless texts have an empty set and are linked with nothing; fewer than five words
 make one shingle of the whole sequence; identical rows are one class; a null doc_id never becomes a component id unless
@@ -46,6 +50,8 @@ BUCKET_BITS, ORDER_BITS = 8, 40
 CODED_ROWS = 1_500_000
 #: Rows of keys up to which the texts needed are found by a broadcast join; beyond, by a shuffled one.
 BROADCAST_KEYS = 500_000
+#: Shingles of a block of a component, and columns of overlap counts taken at a time.
+BLOCK_SHINGLES, OVERLAP_COLUMNS = 100_000, 4096
 
 
 class Sets:
@@ -268,8 +274,103 @@ def _texts(keyed: DataFrame, signatures: DataFrame, lists: DataFrame) -> DataFra
     return written(found.select("cls", "text"), "texts")
 
 
-def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows with their key, signature rows (written) and class -> component, component_id of the classes that have copies or links."""
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of shared shingles of every set of the one list with every set of the other."""
+    both = left + right
+    row = np.repeat(np.arange(len(both)), [len(x) for x in both])
+    _, column = np.unique(np.concatenate(both), return_inverse=True)
+    used = np.flatnonzero(np.bincount(column[row < len(left)], minlength=column.max() + 1)
+                          * np.bincount(column[row >= len(left)], minlength=column.max() + 1))
+    found = np.zeros((len(left), len(right)), dtype=np.int64)
+    name = _find(used, column)
+    order = np.argsort(name, kind="stable")
+    row, name = row[order], name[order]
+    for first in range(0, len(used), OVERLAP_COLUMNS):
+        own = slice(*np.searchsorted(name, [first, first + OVERLAP_COLUMNS]))
+        has = np.zeros((len(both), min(OVERLAP_COLUMNS, len(used) - first)), dtype=np.float32)
+        has[row[own], name[own] - first] = 1
+        found += (has[: len(left)] @ has[len(left):].T).astype(np.int64)
+    return found
+
+
+def _find(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Index of each value in the sorted array, -1 where it isn't there."""
+    if not len(known):
+        return np.full(len(values), -1, dtype=np.int64)
+    i = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return np.where(known[i] == values, i, -1)
+
+
+def _block_links(cls: list[list[int]], sets: list[list[np.ndarray]], same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Linked classes (a, b) between two blocks, or within one (each pair once)."""
+    names = [np.array(c, dtype=np.int64) for c in cls]
+    common = overlaps(sets[0], sets[0] if same else sets[1])
+    size = [np.array([len(x) for x in s], dtype=np.int64) for s in sets]
+    met = 9 * common >= 4 * (size[0][:, None] + size[0 if same else 1][None, :])
+    if same:
+        met &= np.triu(np.ones(met.shape, dtype=bool), 1)
+    i, j = np.nonzero(met)
+    return names[0][i], names[0 if same else 1][j]
+
+
+def _within(count: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Links of the pairs of blocks that come one after the other: pairs of classes, or links a class."""
+    def answer(block: tuple, cls: list[list[int]], sets: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if not cls[0] or (block[1] != block[2] and not cls[1]):
+            return
+        a, b = _block_links(cls, sets, block[1] == block[2])
+        if count:
+            a, b = np.unique(np.append(a, b), return_counts=True)
+            names = ["cls", "n_links"]
+        else:
+            a, b = np.minimum(a, b), np.maximum(a, b)
+            names = ["a", "b"]
+        for i in range(0, len(a), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(a[i: i + 100_000]), pa.array(b[i: i + 100_000].astype(np.int64))], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, cls, sets = None, [[], []], [[], []]
+        for batch in batches:
+            rows = []
+            for s in shingle_sets(batch.column("text")):
+                rows.extend(np.split(s.shingles, s.ptr[1:-1]))
+            blocks = zip(*(batch.column(c).to_pylist() for c in ("component", "block_a", "block_b", "side", "cls")), strict=True)
+            for (*block, side, name), own in zip(blocks, rows, strict=True):
+                if block != now:
+                    if now is not None:
+                        yield from answer(tuple(now), cls, sets)
+                    now, cls, sets = block, [[], []], [[], []]
+                cls[side].append(name)
+                sets[side].append(own)
+        if now is not None:
+            yield from answer(tuple(now), cls, sets)
+    return run
+
+
+def _all_links(lists: DataFrame, texts: DataFrame, parts: DataFrame, count: bool) -> DataFrame:
+    """All links between classes of the components: a < b, or cls and n_links (of each pair of blocks)."""
+    sized = lists.groupBy("cls").agg(F.first("n").alias("n")).join(parts.withColumnRenamed("node", "cls"), "cls")
+    blocks = sized.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("n_blocks"))
+    large = written(blocks.filter("n_blocks > 1"), "large-components")
+    dealt = written(sized.select("cls", "component").join(large, "component", "left").select(
+        "cls", "component", F.coalesce(F.pmod(F.xxhash64("cls"), F.col("n_blocks")), F.lit(0)).cast("long").alias("block")), "blocks")
+    # every block with itself, and blocks of one component that meet on a short list
+    itself = dealt.select("component", F.col("block").alias("block_a"), F.col("block").alias("block_b")).distinct()
+    on_list = (lists.select("h", "cls").join(dealt.join(large, "component", "left_semi"), "cls")
+               .groupBy("h", "component").agg(F.collect_set("block").alias("on")).filter(F.size("on") > 1)
+               .select("component", F.array_sort("on").alias("on")).distinct())
+    one = on_list.select("component", "on", F.explode("on").alias("block_a"))
+    two = one.select("component", "block_a", F.explode("on").alias("block_b")).filter("block_a < block_b").distinct()
+    pairs = written(itself.unionByName(two), "block-pairs")
+    sides = pairs.select("*", F.col("block_a").alias("block"), F.lit(0).alias("side")).unionByName(
+        pairs.filter("block_a < block_b").select("*", F.col("block_b").alias("block"), F.lit(1).alias("side")))
+    sent = sides.join(dealt, ["component", "block"]).join(texts, "cls").select("component", "block_a", "block_b", "side", "cls", "text")
+    in_turn = sent.repartition("component", "block_a", "block_b").sortWithinPartitions("component", "block_a", "block_b")
+    return in_turn.mapInArrow(_within(count), "cls long, n_links long" if count else "a long, b long")
+
+
+def _joined(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Keyed rows, signature rows, short lists, the texts of their classes, and class -> component of linked classes."""
     keyed = repeats.keyed(docs)
     signatures = written(keyed.select(KEY, F.col("row")["doc_id"].cast("long").alias("doc_id"), "text")
                          .mapInArrow(_signatures, f"{KEY} long, doc_id long, n_shingles long, cls long"), "signatures")
@@ -280,12 +381,22 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     rest = open_pairs(lists, components(edges))
     seen = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = written(rest.join(seen, ["a", "b"], "left_anti"), "open-pairs")
-    parts = components(edges.unionByName(links(rest, texts)))
+    return keyed, signatures, lists, texts, components(edges.unionByName(links(rest, texts)))
+
+
+def _named(signatures: DataFrame, parts: DataFrame) -> DataFrame:
+    """cls, component, component_id of the classes that have copies or links (written)."""
     own = signatures.filter("cls <> 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
     named = own.join(parts.withColumnRenamed("node", "cls"), "cls", "left").filter("n > 1 or component is not null")
     named = written(named.select("cls", "doc_id", F.coalesce("component", "cls").alias("component")), "classes")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return keyed, signatures, written(named.join(least, "component").select("cls", "component", "component_id"), "class-components")
+    return written(named.join(least, "component").select("cls", "component", "component_id"), "class-components")
+
+
+def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with their key, signature rows (written) and class -> component, component_id of the classes that have copies or links."""
+    keyed, signatures, _, _, parts = _joined(docs)
+    return keyed, signatures, _named(signatures, parts)
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -294,6 +405,21 @@ def linked(docs: DataFrame) -> DataFrame:
     return signatures.join(named, "cls", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def counted(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links, one row per input row; n_links: other sets that the row's set links with."""
+    _, signatures, lists, texts, parts = _joined(docs.select("doc_id", "text"))
+    n_links = _all_links(lists, texts, parts, count=True).groupBy("cls").agg(F.sum("n_links").alias("n_links"))
+    return (signatures.join(_named(signatures, parts), "cls", "left").join(written(n_links, "link-counts"), "cls", "left")
+            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+
+
+def link_pairs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links as pairs of classes (a < b), and the members of the classes: cls, doc_id, n_shingles, one row per input row."""
+    _, signatures, lists, texts, parts = _joined(docs.select("doc_id", "text"))
+    return _all_links(lists, texts, parts, count=False), signatures.select("cls", "doc_id", "n_shingles")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The input without all but one document of each component (the smallest doc_id, null last; of equal rows, one).
 

@@ -98,6 +98,18 @@ reach(a, b) AS (SELECT r, r FROM d UNION SELECT reach.a, e.b FROM reach JOIN e O
 SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, min(t.doc_id) AS component_id
 FROM d LEFT JOIN z USING (r) JOIN reach ON reach.a = d.r JOIN d t ON t.r = reach.b GROUP BY d.r, d.doc_id, z.n"""
 
+_OP6_LINKS = rf"""
+WITH RECURSIVE {_docs(rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')")},
+s AS (SELECT DISTINCT r, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 3)) AS i FROM d WHERE len(ws) >= 5)
+      UNION ALL SELECT r, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 4),
+z AS (SELECT r, count(*) AS n, string_agg(g, chr(10) ORDER BY g) AS cls FROM s GROUP BY r),
+o AS (SELECT a.r AS a, b.r AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+e AS (SELECT a, b, x.cls <> y.cls AS other, y.cls AS cls FROM o JOIN z x ON x.r = a JOIN z y ON y.r = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+l AS (SELECT a, count(DISTINCT cls) AS n FROM e WHERE other GROUP BY a),
+reach(a, b) AS (SELECT r, r FROM d UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, min(t.doc_id) AS component_id, coalesce(l.n, 0) AS n_links
+FROM d LEFT JOIN z USING (r) LEFT JOIN l ON l.a = d.r JOIN reach ON reach.a = d.r JOIN d t ON t.r = reach.b GROUP BY d.r, d.doc_id, z.n, l.n"""
+
 _OP10 = f"""{_repeats(50)},
 {_kept(" AND c.later")},
 n AS (SELECT r, count(*) AS n_repeated, count(*) FILTER (WHERE later) AS n_removed FROM c GROUP BY r)
@@ -111,5 +123,6 @@ ORACLE_SQL = {
     "op4_quality_rules": _OP4,
     "op5_substring_dedup": _OP5,
     "op6_jaccard_join": _OP6,
+    "op6_jaccard_links": _OP6_LINKS,
     "op10_suffix_dedup": _OP10,
 }

@@ -39,6 +39,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.counted(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_links.link(_read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
+    "op6_jaccard_links": op6_jaccard_links,
     "op7_quote_links": op7_quote_links,
     "op8_url_filters": op8_url_filters,
     "op9_packing": op9_packing,
