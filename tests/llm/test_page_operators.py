@@ -81,6 +81,18 @@ def test_url_rules_mined_from_labels(spark):
     assert all(r.verdict == ("block" if "/win" in r.path else "allow") for r in got)
 
 
+def test_url_rules_rest_on_pages_not_on_the_table_size(spark):
+    def verdicts(n_bad, n_good):
+        pages = [(i, f"http://evil.example.com/a{i}") for i in range(n_bad)] + [(1000 + i, f"http://h{i}.example.com/b{i}") for i in range(n_good)]
+        labels = [(i, 1, int(i < 1000)) for i, _ in pages]
+        got = url_filters.judge(spark.createDataFrame(pages + [(99999, "http://evil.example.com/new")], "page_id long, url string"),
+                                spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+        return {r.host: r.verdict for r in got}
+    few, enough = verdicts(3, 100), verdicts(18, 12000)
+    assert set(few.values()) == {"allow"}
+    assert enough.pop("evil.example.com") == "block" and set(enough.values()) == {"allow"}
+
+
 def test_quote_links(spark):
     rows = [(1, 0, "u", "Hello there\nHow are you?"), (1, 1, "a", "> How are you?\nFine."), (1, 2, "u", "Bob wrote:\n> > How are you?\n> Fine.\nGood"),
             (1, 3, "x", ">  hello   THERE\nback to first"), (2, 0, "u", "> Fine.\nquoting elsewhere"), (2, 5, "u", "after a gap"), (None, 1, "u", "> a"),

@@ -1,8 +1,10 @@
 """URL filters (operator 8): a host-and-path rule list, then association rules mined by Spark FP-growth.
 
 Labelled urls become transactions of tokens (host labels, path segments, query keys) plus the token of their label.
-FP-growth finds frequent combinations; rules whose consequent is ``block`` are kept if support and confidence reach
-their thresholds and no shorter rule inside them is as confident.  Rules are matched through an inverted index: each
+FP-growth finds the combinations that enough bad pages share; each is counted over all labelled pages, and becomes a
+rule if the lower end of the 95 % (Wilson) interval of its share of bad pages reaches the threshold and no shorter rule
+inside it has as high a share.  The interval alone says how many bad pages a rule needs (16 at 0.8, all of them bad),
+so whether pages teach a rule does not depend on how large the table around them is.  Rules are matched through an inverted index: each
 rule is listed under its rarest token, the urls' tokens are joined to the lists, and the rule holds if its other
 tokens are there too.  Everything is DataFrame and SQL functions.
 
@@ -15,6 +17,7 @@ all allowed); other columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -23,8 +26,9 @@ from pyspark.sql import functions as F
 
 from wagelens.llm.shared import written
 
-MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.8
+#: Width of the 95 % interval in standard deviations.
+Z = 1.96
 BLOCK_TOKEN = "#block"
 
 # The rule list (action, host, path).
@@ -71,14 +75,35 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
         F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def least_pages(min_confidence: float) -> int:
+    """Bad pages below which no combination's interval can reach the threshold: n / (n + Z^2) is the end for n of n."""
+    return max(1, math.ceil(min_confidence * Z * Z / (1 - min_confidence)))
+
+
+def lower_end(bad: Column, pages: Column) -> Column:
+    """Lower end of the Wilson interval of the share bad / pages."""
+    share = bad / pages
+    spread = Z * F.sqrt(share * (1 - share) / pages + Z * Z / (4 * pages * pages))
+    return (share + Z * Z / (2 * pages) - spread) / (1 + Z * Z / pages)
+
+
+def mine(labelled: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules from rows of (items: tokens and, where the label is bad, BLOCK_TOKEN): antecedent, confidence, support."""
     spark = labelled.sparkSession
     schema = "antecedent array<string>, confidence double, support double"
-    if labelled.isEmpty():
+    labelled = written(labelled, "url-labelled")
+    bad = labelled.filter(F.array_contains("items", BLOCK_TOKEN)).select(F.array_remove("items", BLOCK_TOKEN).alias("items"))
+    n_all, n_bad, least = labelled.count(), bad.count(), least_pages(min_confidence)
+    if n_bad < least:
         return spark.createDataFrame([], schema)
-    found = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(labelled).associationRules
-    rules = found.filter(F.col("consequent") == F.array(F.lit(BLOCK_TOKEN))).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
+    # half a page less, as the product of share and count may come out above the whole number
+    sets = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_bad).fit(bad).freqItemsets
+    sets = written(sets.select(F.array_sort("items").alias("antecedent"), F.col("freq").alias("n_bad")), "url-sets")
+    each = labelled.select("items", F.explode("items").alias("token")).filter(F.col("token") != BLOCK_TOKEN)
+    held = each.join(_by_rarest(sets, each), "token").filter(F.size(F.array_except("antecedent", "items")) == 0)
+    counted = sets.join(held.groupBy("antecedent").agg(F.count("*").alias("n")), "antecedent")
+    rules = counted.filter(lower_end(F.col("n_bad"), F.col("n")) >= min_confidence).select(
+        "antecedent", (F.col("n_bad") / F.col("n")).alias("confidence"), (F.col("n_bad") / n_all).alias("support"))
     rules = written(rules, "url-rules")
     # a rule says nothing new if a shorter one within it is at least as confident: found through shared tokens
     listed_ = rules.select("antecedent", "confidence", F.explode("antecedent").alias("token"))
@@ -90,17 +115,21 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     return rules.join(implied, "antecedent", "left_anti")
 
 
+def _by_rarest(sets: DataFrame, each: DataFrame) -> DataFrame:
+    """antecedent and the token of it that is rarest among the rows of ``each`` (token)."""
+    often = each.groupBy("token").agg(F.count("*").alias("n"))
+    entries = sets.select("antecedent", F.explode("antecedent").alias("token")).join(often, "token")
+    return entries.groupBy("antecedent").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
+
+
 def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Distinct urls (url, tokens) on which at least one rule holds, through the rules' rarest tokens."""
     each = urls.select("url", "tokens", F.explode("tokens").alias("token"))
-    often = each.groupBy("token").agg(F.count("*").alias("n"))
-    entries = rules.select("antecedent", F.explode("antecedent").alias("token")).join(often, "token")
-    index = entries.groupBy("antecedent").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
-    held = each.join(index, "token").filter(F.size(F.array_except("antecedent", "tokens")) == 0)
+    held = each.join(_by_rarest(rules, each), "token").filter(F.size(F.array_except("antecedent", "tokens")) == 0)
     return held.select("url").distinct()
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """page_id, host, path, rule, verdict of every row of ``pages`` (page_id, url); labels: doc_id, quality, toxic.
 
     A page is labelled by the row of its id; it is bad if it is toxic.
@@ -113,7 +142,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float =
     marked = (own.join(bad, "page_id").filter(F.col("toxic").isNotNull() & F.col("url").isNotNull())
               .select(tokens(F.col("url"), host, path).alias("t"), "toxic").filter(F.size("t") > 0)
               .select(F.when(F.col("toxic") > 0, F.array_append("t", F.lit(BLOCK_TOKEN))).otherwise(F.col("t")).alias("items")))
-    mined = written(mine(marked, min_support, min_confidence), "url-kept-rules")
+    mined = written(mine(marked, min_confidence), "url-kept-rules")
     distinct = own.filter(F.col("url").isNotNull()).select("url").distinct()
     distinct = distinct.select("url", tokens(F.col("url"), host, path).alias("tokens"))
     blocked = written(matches(distinct, mined).withColumn("hit", F.lit(True)), "url-blocked")
