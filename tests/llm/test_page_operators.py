@@ -93,6 +93,13 @@ def test_url_rules_rest_on_pages_not_on_the_table_size(spark):
     assert enough.pop("evil.example.com") == "block" and set(enough.values()) == {"allow"}
 
 
+def test_quote_links_find_another_conversation_than_their_own(spark):
+    rows = [(3, 0, "u", "> Fine."), (3, 4, "a", "Fine."), (7, 1, "u", "Fine."), (9, 2, "u", "Fine."), (9, 0, "u", "> Fine.\nno"), (5, 0, "u", "> Mine"), (5, 1, "u", "Mine")]
+    got = {(r.conv_id, r.turn): r for r in quote_links.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    sources = {k: [tuple(s) for s in r.sources or []] for k, r in got.items() if r.n_quoted}
+    assert sources == {(3, 0): [(7, 1, 1)], (9, 0): [(3, 4, 1)], (5, 0): []}
+
+
 def test_quote_links(spark):
     rows = [(1, 0, "u", "Hello there\nHow are you?"), (1, 1, "a", "> How are you?\nFine."), (1, 2, "u", "Bob wrote:\n> > How are you?\n> Fine.\nGood"),
             (1, 3, "x", ">  hello   THERE\nback to first"), (2, 0, "u", "> Fine.\nquoting elsewhere"), (2, 5, "u", "after a gap"), (None, 1, "u", "> a"),

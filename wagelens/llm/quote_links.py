@@ -71,14 +71,20 @@ def quote_sources(messages: DataFrame) -> DataFrame:
     found = both.withColumn("from_turn", F.last("wrote", ignorenulls=True).over(order)).filter("level > 0").drop("wrote")
     found = found.withColumn("from_conv", F.when(F.col("from_turn").isNotNull(), F.col("conv_id")))
     missing = found.filter("from_turn is null").select("passage").distinct()
-    elsewhere = (own.join(missing, "passage", "left_semi").groupBy("passage")
-                 .agg(F.min(F.struct("conv_id", F.col("turn").cast("long").alias("turn"))).alias("first")))
-    elsewhere = written(elsewhere, "elsewhere")
+    # the first turns of the two least conversations: one of them is not the quoting one
+    wrote = (own.join(missing, "passage", "left_semi").groupBy("passage", "conv_id")
+             .agg(F.struct("conv_id", F.min(F.col("turn").cast("long")).alias("turn")).alias("at")).select("passage", "at"))
+    wrote = written(wrote, "elsewhere")
+    first = wrote.groupBy("passage").agg(F.min("at").alias("first"))
+    second = (wrote.join(first, "passage").filter(F.col("at")["conv_id"] != F.col("first")["conv_id"])
+              .groupBy("passage").agg(F.min("at").alias("second")))
+    elsewhere = written(first.join(second, "passage", "left"), "elsewhere")
+    other = F.when(F.col("first")["conv_id"] != F.col("conv_id"), F.col("first")).otherwise(F.col("second"))
     return (found.join(elsewhere, "passage", "left")
-            .withColumn("outside", F.col("from_turn").isNull() & (F.col("first")["conv_id"] != F.col("conv_id")))
+            .withColumn("outside", F.when(F.col("from_turn").isNull(), other))
             .select("conv_id", "turn", "level", "passage",
-                    F.when(F.col("outside"), F.col("first")["conv_id"]).otherwise(F.col("from_conv")).alias("from_conv"),
-                    F.when(F.col("outside"), F.col("first")["turn"]).otherwise(F.col("from_turn")).alias("from_turn")))
+                    F.coalesce("from_conv", F.col("outside")["conv_id"]).alias("from_conv"),
+                    F.coalesce("from_turn", F.col("outside")["turn"]).alias("from_turn")))
 
 
 def reply_tree(messages: DataFrame, sources: DataFrame) -> DataFrame:
