@@ -117,6 +117,25 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_repeated, 0) AS n_
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)"""
 
+_OP13 = rf"""
+WITH t AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM t),
+k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM t),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term),
+n AS (SELECT lang, source, term, coalesce(n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, 1 + 1000000000 * (CAST(n AS HUGEINT) + 1) // (sum(n) OVER (PARTITION BY lang, source) + v) AS p FROM n JOIN v USING (lang)),
+m AS (SELECT lang, term, sum(n) AS n FROM n GROUP BY lang, term),
+q AS (SELECT lang, term, 1 + 1000000000 * (CAST(n AS HUGEINT) + 1) // (sum(n) OVER (PARTITION BY lang) + v) AS q FROM m JOIN v USING (lang)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+f AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM f WHERE part = 'pair' OR rank <= 200"""
+
 ORACLE_SQL = {
     "op1_decontamination": _OP1,
     "op2_warc_zstd": _OP2,
@@ -125,4 +144,5 @@ ORACLE_SQL = {
     "op6_jaccard_join": _OP6,
     "op6_jaccard_links": _OP6_LINKS,
     "op10_suffix_dedup": _OP10,
+    "op13_source_divergence": _OP13,
 }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wagelens.llm import (
-    decontamination, jaccard_join, language_id, packing, quality_rules, quote_links, substring_dedup, suffix_dedup,
-    url_filters, warc_zstd,
+    decontamination, jaccard_join, language_id, packing, quality_rules, quote_links, source_divergence, substring_dedup,
+    suffix_dedup, url_filters, warc_zstd,
 )
 
 
@@ -60,6 +60,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(_read(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_warc_zstd": op2_warc_zstd,
@@ -72,4 +76,5 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_packing": op9_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_source_divergence": op13_source_divergence,
 }
