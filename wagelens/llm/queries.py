@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wagelens.llm import (
-    decontamination, jaccard_join, language_id, packing, quality_rules, quote_links, source_divergence, substring_dedup,
+    decontamination, embedding_whitening, jaccard_join, language_id, packing, quality_rules, quote_links, source_divergence, substring_dedup,
     suffix_dedup, url_filters, warc_zstd,
 )
 
@@ -60,6 +60,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.whiten(_read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(_read(spark, sf_dir, "documents", "text", "lang", "source"))
 
@@ -76,5 +80,6 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_packing": op9_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op13_source_divergence": op13_source_divergence,
 }
