@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wagelens.llm import (
     decontamination, embedding_whitening, jaccard_join, language_id, packing, quality_rules, quote_links, source_divergence, substring_dedup,
-    suffix_dedup, url_filters, warc_zstd,
+    suffix_dedup, template_extraction, url_filters, warc_zstd,
 )
 
 
@@ -64,6 +64,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_whitening.whiten(_read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op12_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_extraction.extract(_read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(_read(spark, sf_dir, "documents", "text", "lang", "source"))
 
@@ -81,5 +85,6 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_template_extraction": op12_template_extraction,
     "op13_source_divergence": op13_source_divergence,
 }
