@@ -92,14 +92,14 @@ def test_forest_is_close_and_does_not_depend_on_partitions(known):
         model, _, scores = M.fit_and_score(M.random_forest(trees=20), known.repartition(n), "Random Forest")
         results.append(_scores(scores))
     assert results[0]["r2"] > 0.95 and results[0] == results[1]
-    importances = M.feature_importance(model, known, top=100).collect()
+    importances = M.feature_importance(model, top=100).collect()
     assert abs(sum(r.importancia for r in importances) - 1) < 1e-9
     assert importances[0].variable.startswith("sector_cnae")
-    assert model.stages[-1].getMinInstancesPerNode() == M.MIN_INSTANCES
+    assert model.forest.nodes.filter("column IS NOT NULL").agg(F.min("rows")).first()[0] >= M.MIN_SPLIT
 
 
 def test_batch_scoring_of_unseen_levels(known):
-    model = M.app_forest().fit(M.settled(known))
+    model = M.app_forest().fit(known)
     scored = M.score_batch(model, known.select(*M.APP_CATEGORICALS).distinct().withColumn("sector_cnae", F.lit("new")))
     assert scored.filter("salario_estimado IS NULL").count() == 0
 
@@ -108,10 +108,10 @@ def test_four_separated_clusters_are_found(spark):
     rows = [(float(s * 1000 + i), s % 2, 2000 + 10 * (s // 2)) for s in range(4) for i in range(25)]
     df = spark.createDataFrame([(w, "A", "Hombres", "x", f"{y}-01-01", y, sx) for w, sx, y in rows],
                                "salario double, sector_cnae string, sexo string, comunidad string, fecha_iso string, anio int, sexo_num int")
-    labelled, silhouette, model = M.kmeans_clusters(df)
-    groups = labelled.groupBy("anio", "sexo_num").agg(F.collect_set("cluster").alias("c")).collect()
-    assert len(model.clusterCenters()) == 4 and all(len(g.c) == 1 for g in groups) and len({g.c[0] for g in groups}) == 4
-    assert silhouette > 0.8
+    found = M.kmeans_clusters(df)
+    groups = found.labelled.groupBy("anio", "sexo_num").agg(F.collect_set("cluster").alias("c")).collect()
+    assert len(found.centres) == 4 and all(len(g.c) == 1 for g in groups) and len({g.c[0] for g in groups}) == 4
+    assert found.silhouette > 0.6 and found.error_bound == 0 and M.nearer_elsewhere(found).agg(F.sum("mas_cerca_de_otro")).first()[0] == 0
 
 
 def test_model_names(known):

@@ -261,8 +261,8 @@ def q_correlation_long(spark, sf_dir):
 
 
 def q_hash_split(spark, sf_dir):
-    from wagelens.operators.models import with_split
-    return with_split(_model_input(spark, sf_dir))
+    from wagelens.operators.models import with_bucket
+    return with_bucket(_model_input(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ extensions

@@ -1,41 +1,39 @@
-"""Feature preparation and Spark ML models.
-
-* Categories are one-hot encoded with every known level getting a slot and an
-  unseen level encoded as all zeros (StringIndexer ``keep`` + OneHotEncoder
-  ``dropLast``: the dropped slot is the "unseen" index).
-* The 80/20 split hashes a row key with md5, so it is stable under
-  repartitioning and reproducible in SQL; it is about, not exactly, 20 %.
-* Estimators: LinearRegression (no regularisation), RandomForestRegressor
-  (all features per split, as the reference's regressor default), KMeans with
-  restarts keeping the least cost, silhouette from ClusteringEvaluator
-  (squared Euclidean; not comparable with a plain-Euclidean score).
+"""Feature preparation, models and their checks.
+
+* Linear regression: Spark ML over one-hot slots, every known level getting a slot and an unseen level being all zeros
+  (StringIndexer ``keep`` + OneHotEncoder ``dropLast``: the dropped slot is the "unseen" index).
+* Forests: exact CART rules (``operators/forest.py``), whose splits on levels are those of the one-hot slots.
+* k-means with all restarts at once and the Euclidean silhouette: ``operators/clusters.py``.
+* The test rows are exactly ceil(0.2 n) rows, those of the smallest md5 of the row key (``operators/split.py``).
+* No fit depends on how its rows are partitioned, and none fixes a number of partitions.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wagelens import constants as C
+from wagelens.operators import clusters as K
+from wagelens.operators import forest as FO
+from wagelens.operators.split import with_exact_share
+from wagelens.session import scratch_path
 
 MODEL_CATEGORICALS = ["sector_cnae", "comunidad"]
 MODEL_NUMERIC = ["anio", "sexo_num"]
 APP_CATEGORICALS = ["sector_cnae", "sexo", "comunidad"]
 CLUSTER_FEATURES = ["salario", "sexo_num", "anio"]
 LABEL = "salario"
-# The tuned forest splits nodes of 5 rows and more.  Spark bounds the children instead: at 2 rows a child, nodes of
-# fewer than 4 rows are never split, so a node of 4 may be and one of 5 may not be cut 1 : 4.
-MIN_INSTANCES = 2
-# Partitions of the rows a model is fitted on (forest bagging depends on them).
-FIT_PARTITIONS = 8
+#: The tuned forest splits nodes of 5 rows and more.
+MIN_SPLIT = 5
 
 
 # ------------------------------------------------------------------ A11
@@ -76,20 +74,19 @@ def split_bucket(key: Column) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long"), F.lit(100))
 
 
-def with_split(df: DataFrame, test_fraction: float = C.TEST_FRACTION) -> DataFrame:
-    """Adds ``en_test``: md5 bucket of the row key < test share (about 20 %)."""
+def with_bucket(df: DataFrame, test_fraction: float = C.TEST_FRACTION) -> DataFrame:
+    """Adds ``en_test``: md5 bucket of the row key < test share (about 20 %, known without a pass over the rows)."""
     bucket = split_bucket(split_key(df))
     return df.withColumn("en_test", bucket < F.lit(int(round(test_fraction * 100))))
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """The rows dealt and ordered by their md5 key, so a fit doesn't depend on how they came."""
-    key = F.md5(split_key(df))
-    return df.withColumn("_key", key).repartition(FIT_PARTITIONS, "_key").sortWithinPartitions("_key").drop("_key")
+def with_split(df: DataFrame, test_fraction: float = C.TEST_FRACTION) -> DataFrame:
+    """Adds ``en_test``: true for exactly ceil(test_fraction * n) rows, by the md5 of the row key."""
+    return with_exact_share(df, split_key(df), test_fraction)
 
 
 def train_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    s = with_split(settled(df))
+    s = with_split(df)
     return s.where(~F.col("en_test")).drop("en_test"), s.where(F.col("en_test")).drop("en_test")
 
 
@@ -131,27 +128,50 @@ def linear_regression(categoricals=MODEL_CATEGORICALS, numeric=MODEL_NUMERIC) ->
                     + [LinearRegression(featuresCol="features", labelCol=LABEL, regParam=0.0)])
 
 
-def random_forest(trees: int = 200, depth: int = 10, min_instances: int = MIN_INSTANCES,
-                  categoricals=MODEL_CATEGORICALS, numeric=MODEL_NUMERIC) -> Pipeline:
-    rf = RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=trees, maxDepth=depth,
-                               minInstancesPerNode=min_instances, featureSubsetStrategy="all",
-                               seed=C.SEED, maxBins=64)
-    return Pipeline(stages=encoder_stages(categoricals, numeric) + [rf])
+@dataclass
+class ForestModel:
+    """A fitted forest, used like a Spark ML model."""
+    forest: FO.Forest
+    spec: "ForestRegressor"
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.forest.predict(df)
+
+    def violations(self) -> DataFrame:
+        return self.forest.violations(self.spec.min_split, self.spec.depth)
+
+
+@dataclass
+class ForestRegressor:
+    trees: int
+    depth: int | None
+    min_split: int
+    categoricals: Sequence[str]
+    numeric: Sequence[str]
+
+    def fit(self, df: DataFrame) -> ForestModel:
+        return ForestModel(FO.fit(df, self.categoricals, self.numeric, LABEL, self.trees, self.depth, self.min_split, C.SEED), self)
+
+
+def random_forest(trees: int = 200, depth: int | None = 10, min_split: int = MIN_SPLIT,
+                  categoricals=MODEL_CATEGORICALS, numeric=MODEL_NUMERIC) -> ForestRegressor:
+    return ForestRegressor(trees, depth, min_split, categoricals, numeric)
 
 
 def scores(predictions: DataFrame, model_name: str) -> DataFrame:
-    spark = predictions.sparkSession
-    r2 = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="r2").evaluate(predictions)
-    mae = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="mae").evaluate(predictions)
-    schema = T.StructType([T.StructField("modelo", T.StringType()), T.StructField("metrica", T.StringType()),
-                           T.StructField("valor", T.DoubleType())])
-    return spark.createDataFrame([(model_name, "r2", float(r2)), (model_name, "mae", float(mae))], schema)
+    """R2 and mean absolute error in one pass (modelo, metrica, valor)."""
+    error = F.col(LABEL) - F.col("prediction")
+    row = predictions.agg((1 - F.sum(error * error) / (F.count(LABEL) * F.var_pop(LABEL))).alias("r2"), F.avg(F.abs(error)).alias("mae"))
+    return row.select(F.lit(model_name).alias("modelo"), F.inline(F.array(*(F.struct(F.lit(m).alias("metrica"), F.col(m).alias("valor")) for m in ("r2", "mae")))))
 
 
-def fit_and_score(pipeline: Pipeline, df: DataFrame, model_name: str):
+def fit_and_score(pipeline, df: DataFrame, model_name: str):
+    """(model, predictions of the test rows, scores); the predictions are written once."""
     train, test = train_test(df)
     model = pipeline.fit(train)
-    pred = model.transform(test)
+    path = scratch_path(df.sparkSession, f"predictions-{uuid.uuid4().hex}")
+    model.transform(test).select(*df.columns, "prediction").write.parquet(path)
+    pred = df.sparkSession.read.parquet(path)
     return model, pred, scores(pred, model_name)
 
 
@@ -159,30 +179,30 @@ def actual_vs_predicted(pred: DataFrame) -> DataFrame:
     return pred.select(F.col(LABEL).alias("real"), F.col("prediction").alias("predicho"))
 
 
-def feature_importance(model: PipelineModel, df: DataFrame, top: int = 10) -> DataFrame:
+def feature_importance(model: ForestModel, top: int = 10) -> DataFrame:
     """Top-``top`` forest importances with slot names (a top-k report)."""
-    names = feature_names(model, df)
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    schema = T.StructType([T.StructField("variable", T.StringType()), T.StructField("importancia", T.DoubleType())])
-    rows = [(names[i] if i < len(names) else str(i), float(v)) for i, v in enumerate(imp)]
-    return df.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("importancia"), "variable").limit(top)
+    return model.forest.importances().orderBy(F.desc("importancia"), "variable").limit(top)
+
+
+def comparison_forest() -> ForestRegressor:
+    return random_forest(trees=50, depth=None, min_split=2)
 
 
 def model_comparison(df: DataFrame) -> DataFrame:
-    """R2 of linear regression vs a 50-tree forest of unbounded (max 30) depth."""
+    """R2 of linear regression vs a 50-tree forest of unbounded depth."""
     _, _, lr = fit_and_score(linear_regression(), df, "Regresión Lineal")
-    _, _, rf = fit_and_score(random_forest(trees=50, depth=30, min_instances=1), df, "Random Forest")
+    _, _, rf = fit_and_score(comparison_forest(), df, "Random Forest")
     return lr.unionByName(rf).where(F.col("metrica") == "r2").select("modelo", F.col("valor").alias("r2"))
 
 
 # ------------------------------------------------------------------ M7, M15
 
 
-def app_forest() -> Pipeline:
-    return random_forest(trees=100, depth=10, min_instances=1, categoricals=APP_CATEGORICALS, numeric=[])
+def app_forest() -> ForestRegressor:
+    return random_forest(trees=100, depth=10, min_split=2, categoricals=APP_CATEGORICALS, numeric=[])
 
 
-def score_batch(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def score_batch(model: ForestModel, rows: DataFrame) -> DataFrame:
     """Predict a wage for every (sector, sex, region) row; unseen levels encode as zeros."""
     return model.transform(rows).select(*APP_CATEGORICALS, F.col("prediction").alias("salario_estimado"))
 
@@ -190,25 +210,47 @@ def score_batch(model: PipelineModel, rows: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ M11-M13, M16
 
 
-def kmeans_clusters(df: DataFrame, k: int = C.KMEANS_K, restarts: int = C.KMEANS_RESTARTS):
-    """Standardise, fit k-means with ``restarts`` seeds, keep the least cost.
+@dataclass
+class Clusters:
+    labelled: DataFrame      # the rows with their cluster
+    silhouette: float
+    error_bound: float       # of the silhouette; 0 while rows are few enough to be told apart
+    centres: np.ndarray      # standardised, in the order of their coordinates
+    costs: np.ndarray        # of every restart
+    standard: list           # the standardised features, as columns
 
-    Returns (labelled rows, silhouette, best model).
-    """
-    assembled = VectorAssembler(inputCols=CLUSTER_FEATURES, outputCol="raw").transform(settled(df))
-    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(assembled)
-    X = scaler.transform(assembled).persist()
-    try:
-        best = None
-        for i in range(restarts):
-            m = KMeans(k=k, seed=C.SEED + i, featuresCol="features", predictionCol="cluster").fit(X)
-            cost = m.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, m)
-        model = best[1]
-        labelled = model.transform(X)
-        sil = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
-                                  distanceMeasure="squaredEuclidean").evaluate(labelled)
-        return labelled.drop("raw", "features"), float(sil), model
-    finally:
-        X.unpersist()
+
+def kmeans_clusters(df: DataFrame, k: int = C.KMEANS_K, restarts: int = C.KMEANS_RESTARTS) -> Clusters:
+    """Standardise, run k-means with ``restarts`` seeds in the same scans, keep the least cost."""
+    points, mean, deviation = K.standardised(df, CLUSTER_FEATURES)
+    centres, costs = K.kmeans(points, len(CLUSTER_FEATURES), k, range(C.SEED, C.SEED + restarts))
+    best = centres[int(np.argmin(costs))]
+    best = best[np.lexsort(best.T[::-1])]
+    silhouette, bound = K.silhouette(points, len(CLUSTER_FEATURES), best)
+    standard = [(F.col(c).cast("double") - float(m)) / float(d) for c, m, d in zip(CLUSTER_FEATURES, mean, deviation, strict=True)]
+    return Clusters(df.withColumn("cluster", K.nearest(best, standard)), silhouette, bound, best, costs, standard)
+
+
+# ------------------------------------------------------------------ checks
+
+
+def residual_sums(model, train: DataFrame, categoricals=MODEL_CATEGORICALS) -> DataFrame:
+    """Residual sum per level of the training rows, as a share of the label's; least squares with a slot per level leaves 0."""
+    pred = model.transform(train)
+    levels = F.inline(F.array(*(F.struct(F.lit(c).alias("variable"), F.col(c).alias("nivel")) for c in categoricals)))
+    return (pred.select(LABEL, "prediction", levels).groupBy("variable", "nivel")
+            .agg(F.count("*").alias("n"), F.round(F.abs(F.sum(F.col(LABEL) - F.col("prediction"))) / F.sum(F.abs(LABEL)), 6).alias("resto")))
+
+
+def nearer_elsewhere(found: Clusters) -> DataFrame:
+    """Per cluster: rows that stand nearer to another cluster's centre than to their own (0 if the labels are right)."""
+    far = F.array(*(sum((x - float(v)) ** 2 for x, v in zip(found.standard, centre, strict=True)) for centre in found.centres))
+    return (found.labelled.select("cluster", F.posexplode(far).alias("otro", "lejos"), F.get(far, F.col("cluster")).alias("suyo"))
+            .groupBy("cluster").agg(F.count_if(F.col("lejos") < F.col("suyo")).alias("mas_cerca_de_otro")))
+
+
+def outside_labels(predictions: DataFrame, labels: DataFrame, model_name: str) -> DataFrame:
+    """Predictions beyond the least or greatest label learned from (a forest's means can't be)."""
+    bounds = labels.agg(F.min(LABEL).alias("least"), F.max(LABEL).alias("most"))
+    beyond = (F.col("p") < F.col("least") * (1 - 1e-12)) | (F.col("p") > F.col("most") * (1 + 1e-12)) | F.col("p").isNull()
+    return predictions.crossJoin(F.broadcast(bounds)).agg(F.lit(model_name).alias("modelo"), F.count_if(beyond).alias("fuera"))  # bounds is one row

@@ -313,6 +313,19 @@ def _split_bucket() -> str:
     return f"(CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) % 100)"
 
 
+def _exact_split() -> str:
+    """Rows of the model input with en_test: the ceil(0.2 n) rows of the smallest md5 of the key."""
+    key = ("concat_ws('|', fecha_iso, comunidad, sector_cnae, sexo, "
+           "CAST(CAST(round(salario * 100, 0) AS BIGINT) AS VARCHAR))")
+    return (f"SELECT mi.*, row_number() OVER (ORDER BY md5({key})) <= "
+            f"(count(*) OVER () * {int(round(C.TEST_FRACTION * 100))} + 99) // 100 AS en_test FROM mi")
+
+
+def _zeros(columns: str, rows: list[tuple]) -> str:
+    values = ", ".join("(" + ", ".join(_q(x) for x in r) + ", CAST(0 AS BIGINT))" for r in rows)
+    return f"SELECT * FROM (VALUES {values}) AS t({columns})"
+
+
 def _kpis() -> str:
     return (f"SELECT 'ipc_actual' AS kpi, {_r('valor_ipc')} AS valor, format('{{:.2f}}', valor_ipc) AS texto FROM "
             "(SELECT valor_ipc FROM idx ORDER BY fecha_iso DESC, indicador DESC, valor_ipc DESC LIMIT 1)\n"
@@ -357,7 +370,16 @@ def oracle_sql() -> dict[str, str]:
         "schema_report": ("SELECT * FROM (VALUES ('code', 'INTEGER'), ('series_pos', 'INTEGER'), ('Nombre', 'STRING'), "
                           "('Data', 'ARRAY'), ('Data[].Anyo', 'INTEGER'), ('Data[].FK_Periodo', 'INTEGER'), "
                           "('Data[].Valor', 'FLOAT')) AS t(campo, tipo)"),
-        "model_test_actuals": f"SELECT salario AS \"real\" FROM mi WHERE {_split_bucket()} < {int(round(C.TEST_FRACTION * 100))}",
+        "model_test_actuals": f"SELECT salario AS \"real\" FROM ({_exact_split()}) WHERE en_test",
+        "exact_split": _exact_split(),
+        "forest_rules": _zeros("bosque, rule, violations", [(b, r) for b in ("200", "50", "app") for r in (
+            "split_below_minimum", "beyond_depth", "children_do_not_add_up", "leaf_could_be_split", "empty_node")]),
+        "linear_residuals": (
+            "SELECT variable, nivel, count(*) AS n, CAST(0 AS DOUBLE) AS resto FROM (SELECT unnest(['sector_cnae', 'comunidad']) AS variable, "
+            f"unnest([sector_cnae, comunidad]) AS nivel FROM ({_exact_split()}) WHERE NOT en_test) GROUP BY variable, nivel"),
+        "cluster_violations": f"SELECT CAST(i AS INTEGER) AS cluster, CAST(0 AS BIGINT) AS mas_cerca_de_otro FROM range({C.KMEANS_K}) AS t(i)",
+        "score_violations": _zeros("modelo, regla, violaciones", [(m, r) for m in ("lineal", "bosque", "bosque50") for r in ("r2", "mae")]
+                                   + [("bosque", "fuera"), ("app", "fuera")]),
         "score_batch_levels": "SELECT DISTINCT sector_cnae, sexo, comunidad FROM app",
         "cluster_rows": "SELECT count(*) AS filas FROM mi",
         "gold_relation": "SELECT * FROM gold",
