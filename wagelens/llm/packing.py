@@ -102,6 +102,8 @@ class WordIds:
         if len(self.index) > CACHED_WORDS:
             self.clear()
         _, where, inverse = np.unique(words.word_hashes(), return_index=True, return_inverse=True)
+        if not _same_bytes(words, where[inverse]):  # words of one hash that differ: each word for itself
+            where = inverse = np.arange(len(words.start))
         raw, index = words.data.tobytes(), self.index
         distinct = [raw[a:b] for a, b in zip(words.start[where].tolist(), words.end[where].tolist(), strict=True)]
         new = [w for w in distinct if w not in index]
@@ -121,6 +123,15 @@ class WordIds:
         return np.insert(flat, ends, np.uint32(END_ID)), ends + np.arange(1, len(ends) + 1)
 
 
+def _same_bytes(words: Words, other: np.ndarray) -> bool:
+    """Is every word of a chunk equal, byte by byte, to the word it is to be replaced by?"""
+    size = words.end - words.start
+    if not np.array_equal(size, size[other]):
+        return False
+    within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    return np.array_equal(words.data[np.repeat(words.start, size) + within], words.data[np.repeat(words.start[other], size) + within])
+
+
 _word_ids: dict[str, WordIds] = {}
 
 

@@ -5,8 +5,10 @@ document is a chunk of its own), so memory follows the longest document and not
 
 * A word is a maximal run of bytes marked in a 256-entry table (multi-byte UTF-8 characters are runs of bytes
   from 0x80 on, so byte tables express the character classes used here).
-* A word's hash is a polynomial over random byte values modulo 2^64, read off a prefix sum and finalised.
-* A window's hash is a polynomial over word hashes; ``window_hashes`` gives two independent 64-bit values.
+* A word's hash is two polynomials over random byte values, each modulo the prime 2^31 - 1 and with a base of its own,
+  read off prefix sums; the 62 bits are finalised.  (Modulo a power of two, texts like the Thue-Morse word and its
+  complement agree under every base.)
+* A window's hash is the same over word hashes; ``window_hashes`` gives two such values of independent bits.
 * A minimiser is the least k-gram of a window; consecutive windows share theirs, so about 2 / (length - k + 2) of all
   positions are minimisers.
 
@@ -24,8 +26,11 @@ import pyarrow as pa
 CHUNK_BYTES = 1_000_000
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
-_BYTE_VALUE = _rng.integers(1, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASES = tuple(int(x) | 5 for x in _rng.integers(2**40, 2**62, size=3))
+_PRIME = 2**31 - 1
+_P, _P_BITS = np.uint64(_PRIME), np.uint64(31)
+_BYTE_VALUE = _rng.integers(1, _PRIME, size=(2, 256), dtype=np.uint64)
+#: Two bases each for words, windows, and windows a second time.
+_BASES = tuple(int(x) for x in _rng.integers(2**20, _PRIME - 1, size=6))
 MAX64 = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 #: Word characters: everything but space and 0x09-0x0D.
@@ -43,17 +48,24 @@ LOWER[0x41:0x5B] += 32
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def _mod(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, for any 64-bit x: its parts of 31 bits are added up."""
+    x = (x & _P) + (x >> _P_BITS)
+    x = (x & _P) + (x >> _P_BITS)
+    return np.where(x >= _P, x - _P, x)
+
+
 def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i modulo 2^64 for i < n (kept and grown on demand)."""
+    """base^i and base^-i modulo the prime for i < n (kept and grown on demand)."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
         size = 1 << max(16, n.bit_length())
-        inverse = pow(base, -1, 2**64)
         tables = []
-        for b in (base, inverse):
-            p = np.full(size, b, dtype=np.uint64)
-            p[0] = 1
-            tables.append(np.multiply.accumulate(p))
+        for b in (base, pow(base, -1, _PRIME)):
+            p = np.ones(1, dtype=np.uint64)
+            while len(p) < size:
+                p = np.concatenate([p, _mod(p * np.uint64(pow(b, len(p), _PRIME)))])
+            tables.append(p)
         have = _powers[base] = (tables[0], tables[1])
     return have
 
@@ -69,11 +81,15 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _ranges(values: np.ndarray, base: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Polynomial hash of values[lo:hi] for each pair (not finalised)."""
+    """Polynomial hash of values[lo:hi] (values below the prime) for each pair: 31 bits, not finalised."""
     power, inverse = _power_tables(base, len(values) + 1)
     prefix = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * power[: len(values)], out=prefix[1:])
-    return (prefix[hi] - prefix[lo]) * inverse[lo]
+    np.cumsum(_mod(values * power[: len(values)]), out=prefix[1:])  # below 2^31 each, so 2^33 of them fit
+    return _mod(_mod(prefix[hi] - prefix[lo]) * inverse[lo])
+
+
+def _pair(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return (one << _P_BITS) | two
 
 
 @dataclass
@@ -97,8 +113,8 @@ class Words:
         return np.repeat(np.arange(self.n_docs), self.counts)
 
     def word_hashes(self) -> np.ndarray:
-        h = _ranges(_BYTE_VALUE[self.data], _BASES[0], self.start, self.end)
-        return mix(h + (self.end - self.start).astype(np.uint64))
+        one, two = (_ranges(_BYTE_VALUE[i][self.data], _BASES[i], self.start, self.end) for i in range(2))
+        return mix(_pair(one, two) + ((self.end - self.start).astype(np.uint64) << np.uint64(62)))
 
     def fits(self, length: int) -> np.ndarray:
         """For each word: do ``length`` words starting here stay in its document?"""
@@ -156,9 +172,12 @@ def words_of(column: pa.Array | pa.ChunkedArray, table: np.ndarray = SPACED, low
 def window_hashes(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray, second: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
     """Two independent hashes of hashes[lo:hi] for each pair, the length included."""
     size = (hi - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    one = mix(_ranges(hashes, _BASES[1], lo, hi) + size)
-    two = mix(_ranges(hashes ^ (hashes >> np.uint64(29)), _BASES[2], lo, hi) + size) if second else None
-    return one, two
+    out = []
+    for i in range(2 if second else 1):
+        bits = mix(hashes + np.uint64(i + 1))  # other bits of the words for every polynomial
+        low, high = _mod(bits & np.uint64(0xFFFFFFFF)), _mod(bits >> np.uint64(32))
+        out.append(mix(_pair(_ranges(low, _BASES[2 + 2 * i], lo, hi), _ranges(high, _BASES[3 + 2 * i], lo, hi)) ^ size))
+    return out[0], out[1] if second else None
 
 
 def minimisers(words: Words, hashes: np.ndarray, k: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
