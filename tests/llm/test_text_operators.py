@@ -27,19 +27,26 @@ def sha(ws):
     return hashlib.sha256(" ".join(ws).encode()).hexdigest()
 
 
+def row_key(doc_id, text):
+    """The first 64 bits of the md5 of id and text, signed: the order of rows of one id."""
+    raw = f"{'null' if doc_id is None else doc_id}|{'null' if text is None else text}"
+    return int.from_bytes(hashlib.md5(raw.encode()).digest()[:8], "big", signed=True)
+
+
 def repeated(rows, length):
     texts = [words(t) for _, t in rows]
+    keys = [row_key(d, t) for d, t in rows]
     at = defaultdict(list)
     for j, w in enumerate(texts):
         for i in range(len(w) - length + 1):
-            at[tuple(w[i:i + length])].append((-(2**63) if rows[j][0] is None else rows[j][0], i, j))
+            at[tuple(w[i:i + length])].append((-(2**63) if rows[j][0] is None else rows[j][0], keys[j], i, j))
     covered, later = [set() for _ in rows], [set() for _ in rows]
     for met in at.values():
         if len(met) > 1:
-            first = min(met)[:2]
-            for d, i, j in met:
+            first = min(met)[:3]
+            for d, k, i, j in met:
                 covered[j].update(range(i, i + length))
-                if (d, i) != first:
+                if (d, k, i) != first:
                     later[j].update(range(i, i + length))
     return texts, covered, later
 

@@ -67,12 +67,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM n"""
 
 
+#: The order of rows of one doc_id: the first 64 bits of the md5 of id and text, as a signed number.
+_KEY = "CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || coalesce(text, 'null')), 1, 16) AS UBIGINT)"
+_PLACE = "(coalesce(doc_id, -9223372036854775808), k, i)"
+
+
 def _repeats(length: int) -> str:
     return f"""
 WITH {_docs(_SPACED)},
+o AS (SELECT r, CAST(CASE WHEN u >= 9223372036854775808 THEN CAST(u AS HUGEINT) - 18446744073709551616 ELSE u END AS BIGINT) AS k FROM (SELECT r, {_KEY} AS u FROM d)),
 {_windows("w", "d", length)},
-again AS (SELECT win, min((coalesce(doc_id, -9223372036854775808), i)) AS first FROM w GROUP BY win HAVING count(*) > 1),
-m AS (SELECT r, i, (coalesce(doc_id, -9223372036854775808), i) <> first AS later FROM w JOIN again USING (win)),
+again AS (SELECT win, min({_PLACE}) AS first FROM w JOIN o USING (r) GROUP BY win HAVING count(*) > 1),
+m AS (SELECT r, i, {_PLACE} <> first AS later FROM w JOIN o USING (r) JOIN again USING (win)),
 c AS (SELECT r, p, bool_or(later) AS later FROM (SELECT r, later, unnest(range(i, i + {length})) AS p FROM m) GROUP BY r, p)"""
 
 

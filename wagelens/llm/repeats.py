@@ -1,7 +1,7 @@
 """Shared stages of the two exact repeated-span operators (token De Bruijn graph, sparse suffix array).
 
-A document is a row; its surrogate key is a 64-bit hash of (doc_id, text), so null ids work and identical repeated
-rows are treated alike.  Only minimiser k-grams leave the first pass (about 2/(length-k+2) of all words), packed per
+A document is a row; its surrogate key is the first 64 bits of the md5 of (doc_id, text), so null ids work, identical
+repeated rows are treated alike, and rows of one id have an order that SQL can state.  Only minimiser k-grams leave the first pass (about 2/(length-k+2) of all words), packed per
 Arrow batch and k-gram: a passage that a third of all rows share costs one row per batch, not one per occurrence.
 
 Stages, each one shuffle:
@@ -35,7 +35,7 @@ from wagelens.llm.text_kernel import Words, minimisers, mix, window_hashes, word
 KEY = "_row_key"
 PACKED_FROM = 64
 _COORD = np.dtype([("key", "<i8"), ("doc", "<i8"), ("pos", "<i4"), ("len", "<i4")])
-ROWS = "h1 long, h2 long, n int, first_doc long, first_pos int, coords binary, zipped boolean"
+ROWS = "h1 long, h2 long, n int, first_doc long, first_key long, first_pos int, coords binary, zipped boolean"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -47,12 +47,14 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
         F.coalesce(doc_id, F.lit(-(2**63))).alias("ord"), F.col("text").cast("string").alias("text"),
-        F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("null")), F.col("text").isNull(), F.col("text")).alias(KEY))
+        F.conv(F.substring(F.md5(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("null")), F.coalesce(F.col("text"), F.lit("null")))), 1, 16), 16, -10)
+        .cast("long").alias(KEY))
 
 
 def _pack(h1: np.ndarray, h2: np.ndarray, coords: np.ndarray, mixed_is_zero: bool) -> pa.RecordBatch:
     """One row per h1 (mixed_is_zero: h2 becomes 0 where it differs within h1) or per (h1, h2), with all coordinates."""
-    order = np.lexsort((coords["pos"], coords["doc"], h2, h1) if not mixed_is_zero else (coords["pos"], coords["doc"], h1))
+    place = (coords["pos"], coords["key"], coords["doc"])
+    order = np.lexsort((*place, h2, h1) if not mixed_is_zero else (*place, h1))
     h1, h2, coords = h1[order], h2[order], coords[order]
     n = len(h1)
     new = np.ones(n, dtype=bool)
@@ -75,8 +77,8 @@ def _pack(h1: np.ndarray, h2: np.ndarray, coords: np.ndarray, mixed_is_zero: boo
         column = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]).cast(pa.binary())
     return pa.RecordBatch.from_arrays(
         [pa.array(h1[first].view(np.int64)), pa.array(key2.view(np.int64)), pa.array(size.astype(np.int32)),
-         pa.array(coords["doc"][first]), pa.array(coords["pos"][first]), column, pa.array(big)],
-        names=["h1", "h2", "n", "first_doc", "first_pos", "coords", "zipped"])
+         pa.array(coords["doc"][first]), pa.array(coords["key"][first]), pa.array(coords["pos"][first]), column, pa.array(big)],
+        names=["h1", "h2", "n", "first_doc", "first_key", "first_pos", "coords", "zipped"])
 
 
 def _coordinates(words: Words, keys: np.ndarray, order_ids: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -196,11 +198,11 @@ def settle(rows: DataFrame, earlier: Column) -> DataFrame:
     met = rows.withColumn("total", F.sum("n").over(same)).withColumn("earlier", earlier).filter("total >= 2")
 
     def value(coords: np.ndarray, more: dict[str, np.ndarray]) -> np.ndarray:
-        at_first = (coords["doc"] == more["first_doc"]) & (coords["pos"] == more["first_pos"])
+        at_first = (coords["doc"] == more["first_doc"]) & (coords["key"] == more["first_key"]) & (coords["pos"] == more["first_pos"])
         flag = ~at_first | more["earlier"]
         return (coords["pos"].astype(np.int64) << 32) + coords["len"].astype(np.int64) * 2 + flag
-    spans = met.select("n", "coords", "zipped", "first_doc", "first_pos", "earlier").mapInArrow(
-        _unpack(value, ("first_doc", "first_pos", "earlier")), f"{KEY} long, v long")
+    spans = met.select("n", "coords", "zipped", "first_doc", "first_key", "first_pos", "earlier").mapInArrow(
+        _unpack(value, ("first_doc", "first_key", "first_pos", "earlier")), f"{KEY} long, v long")
     return spans.groupBy(KEY).agg(F.collect_list("v").alias("spans"))
 
 

@@ -6,8 +6,9 @@ retained suffix on both sides needs no more work.  The others are extended left
 ``length``-word window around them is sorted by its text and compared with its neighbours in (doc_id, position) order.
 
 Result: a word is repeated if it lies in a window of ``length`` consecutive words that occurs twice or more in the
-corpus, and removed if it lies in one that also occurs at an earlier (doc_id, position).  So one copy of each passage
-stays, in the document with the smallest doc_id.
+corpus, and removed if it lies in one that also occurs at an earlier (doc_id, row key, position).  So one copy of each
+passage stays, in the document with the smallest doc_id; different rows of one doc_id, or of none, are ordered by their
+key (``repeats.keyed``).
 
 Defined results: null or empty text has 0 words; null doc_id sorts before all others; identical repeated rows count as
 two occurrences at the same place, so each keeps its copy; other columns pass through ``drop_repeats`` unchanged and
@@ -46,12 +47,12 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, k: int = SUFFIX_WORDS
     """Row key and spans (see ``repeats.settle``) of every document with a repeated window."""
     marks = repeats.mark_documents(sorted_suffixes(keyed, length, k))
     rows = repeats.candidate_rows(keyed, marks, length, k)
-    order = Window.partitionBy("h1", "h2").orderBy("first_doc", "first_pos")
-    before = F.struct(F.lag("first_doc").over(order).alias("first_doc"), F.lag("first_pos").over(order).alias("first_pos"))
-    neighbour = before["first_doc"].isNotNull()
+    order = Window.partitionBy("h1", "h2").orderBy("first_doc", "first_key", "first_pos")
+    neighbour = F.lag("first_doc").over(order).isNotNull()
     # equal coordinates (identical repeated rows in two batches) are the same place, not an earlier one
-    first_doc, first_pos = F.min("first_doc").over(order), F.first("first_pos").over(order)
-    same_place = (F.col("first_doc") == first_doc) & (F.col("first_pos") == first_pos)
+    same_place = F.lit(True)
+    for c in ("first_doc", "first_key", "first_pos"):
+        same_place = same_place & (F.col(c) == F.first(c).over(order))
     return repeats.settle(rows, neighbour & ~same_place)
 
 
