@@ -8,7 +8,7 @@ window over (conversation, passage) in turn order finds it in one pass, so a pas
 pairs.  What is not found there is looked up in all other conversations (first one in (conv_id, turn) order).
 
 Build: a message answers the turn that most of its shallowest linked passages come from (the latest of equals), else
-the turn before it, else it begins a thread.  Roots and depths come from pointer doubling, so a chain of n replies
+the turn before it (over gaps in the numbering), else it begins a thread.  Roots and depths come from pointer doubling, so a chain of n replies
 takes log2(n) joins.  Parents are earlier turns: (conv_id, thread_root, turn) lists a conversation in reply order.
 
 Defined results: one row per input row; rows that share (conv_id, turn) are one message with the passages of all of
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from wagelens.llm.shared import written
 
+#: Turn numbers that share a window when the turn before a message is looked up.
+TURN_RANGE = 1024
 MARKS = "^((?:[ \\t]*>)+)"
 # Endings of the line that introduces a quote.
 INTRODUCES = "(?i)(wrote|schrieb|a écrit|escribió)[ \\t]*:[ \\t\\r]*$"
@@ -87,12 +89,26 @@ def quote_sources(messages: DataFrame) -> DataFrame:
                     F.coalesce("from_turn", F.col("outside")["turn"]).alias("from_turn")))
 
 
+def _previous(nodes: DataFrame) -> DataFrame:
+    """conv_id, turn and the next smaller turn of the conversation, whatever the gaps in its numbering.
+
+    A window holds the turns of one range of ``TURN_RANGE`` numbers, another one the ranges' last turns, so a conversation
+    that holds a third of all messages is not one task's work.
+    """
+    ranged = nodes.withColumn("range", F.floor(F.col("turn") / TURN_RANGE))
+    lasts = ranged.groupBy("conv_id", "range").agg(F.max("turn").alias("last"))
+    lasts = lasts.select("conv_id", "range", F.lag("last").over(Window.partitionBy("conv_id").orderBy("range")).alias("earlier"))
+    within = F.lag("turn").over(Window.partitionBy("conv_id", "range").orderBy("turn"))
+    return (ranged.withColumn("within", within).join(lasts, ["conv_id", "range"])
+            .select("conv_id", "turn", F.coalesce("within", "earlier").alias("previous")))
+
+
 def reply_tree(messages: DataFrame, sources: DataFrame) -> DataFrame:
     """conv_id, turn, reply_to, thread_root, depth of every distinct (conv_id, turn)."""
     nodes = messages.filter(F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).select("conv_id", "turn").distinct()
     inside = sources.filter(F.col("from_conv") == F.col("conv_id")).groupBy("conv_id", "turn", "level", "from_turn").agg(F.count("*").alias("n"))
     best = inside.groupBy("conv_id", "turn").agg(F.max(F.struct((-F.col("level")).alias("level"), "n", "from_turn"))["from_turn"].alias("quoted"))
-    before = nodes.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("turn").alias("previous"))
+    before = _previous(nodes)
     now = (nodes.join(best, ["conv_id", "turn"], "left").join(before, ["conv_id", "turn"], "left")
            .select("conv_id", "turn", F.coalesce("quoted", "previous").cast("long").alias("reply_to"))
            .withColumn("up", F.col("reply_to")).withColumn("root", F.coalesce("reply_to", F.col("turn").cast("long")))
