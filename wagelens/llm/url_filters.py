@@ -1,8 +1,8 @@
 """URL filters (operator 8): a host-and-path rule list, then association rules mined by Spark FP-growth.
 
 Labelled urls become transactions of tokens (host labels, path segments, query keys) plus the token of their label.
-FP-growth finds the combinations that enough bad pages share; each is counted over all labelled pages, and becomes a
-rule if the lower end of the 95 % (Wilson) interval of its share of bad pages reaches the threshold and no shorter rule
+FP-growth finds the combinations that enough bad pages share (tokens that are rules by themselves or that always come
+together are dealt with before, see ``mine``); each is counted over all labelled pages, and becomes a rule if the lower end of the 95 % (Wilson) interval of its share of bad pages reaches the threshold and no shorter rule
 inside it has as high a share.  The interval alone says how many bad pages a rule needs (16 at 0.8, all of them bad),
 so whether pages teach a rule does not depend on how large the table around them is.  Rules are matched through an inverted index: each
 rule is listed under its rarest token, the urls' tokens are joined to the lists, and the rule holds if its other
@@ -39,9 +39,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class Mined:
-    """Association rules: antecedent tokens, support, confidence; one row each."""
+    """rules: antecedent tokens, confidence, support; names: tokens that rules know by another's name (token, named)."""
 
     rules: DataFrame
+    names: DataFrame
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -87,32 +88,43 @@ def lower_end(bad: Column, pages: Column) -> Column:
     return (share + Z * Z / (2 * pages) - spread) / (1 + Z * Z / pages)
 
 
-def mine(labelled: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules from rows of (items: tokens and, where the label is bad, BLOCK_TOKEN): antecedent, confidence, support."""
+def mine(labelled: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> Mined:
+    """Rules from rows of (items: tokens and, where the label is bad, BLOCK_TOKEN).
+
+    A token that is a rule by itself is taken out before FP-growth: a longer rule with it would hold on no other page.
+    Tokens that stand on the same labelled pages become one (the least of them): they can't be told apart, so their 2^n
+    combinations are one.  What FP-growth sees is therefore the tokens of bad pages that good pages share, each once.
+    """
     spark = labelled.sparkSession
-    schema = "antecedent array<string>, confidence double, support double"
-    labelled = written(labelled, "url-labelled")
-    bad = labelled.filter(F.array_contains("items", BLOCK_TOKEN)).select(F.array_remove("items", BLOCK_TOKEN).alias("items"))
-    n_all, n_bad, least = labelled.count(), bad.count(), least_pages(min_confidence)
+    none = Mined(spark.createDataFrame([], "antecedent array<string>, confidence double, support double"), spark.createDataFrame([], "token string, named string"))
+    labelled = written(labelled.withColumn("page", F.monotonically_increasing_id()), "url-labelled")
+    is_bad = F.array_contains("items", BLOCK_TOKEN)
+    n_all, n_bad, least = *labelled.agg(F.count("*"), F.count_if(is_bad)).first(), least_pages(min_confidence)
     if n_bad < least:
-        return spark.createDataFrame([], schema)
+        return none
+    each = labelled.select("page", is_bad.alias("bad"), F.explode("items").alias("token")).filter(F.col("token") != BLOCK_TOKEN)
+    counted = each.groupBy("token").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"), F.bit_xor(F.xxhash64("page")).alias("pages"))
+    counted = written(counted.filter(F.col("n_bad") >= least).withColumn("rule", lower_end(F.col("n_bad"), F.col("n")) >= min_confidence), "url-tokens")
+    share, support = (F.col("n_bad") / F.col("n")).alias("confidence"), (F.col("n_bad") / n_all).alias("support")
+    single = counted.filter("rule").select(F.array("token").alias("antecedent"), share, support)
+    same = counted.filter("not rule").groupBy("n", "n_bad", "pages").agg(F.min("token").alias("named"), F.collect_list("token").alias("tokens"))
+    names = written(same.select(F.explode("tokens").alias("token"), "named"), "url-names")
+    merged = written(each.join(names, "token").groupBy("page", "bad").agg(F.collect_set("named").alias("items")), "url-merged")
+    bad = merged.filter("bad and size(items) > 1").select("items")
+    if bad.isEmpty():
+        return Mined(single, names)
     # half a page less, as the product of share and count may come out above the whole number
-    sets = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_bad).fit(bad).freqItemsets
-    sets = written(sets.select(F.array_sort("items").alias("antecedent"), F.col("freq").alias("n_bad")), "url-sets")
-    each = labelled.select("items", F.explode("items").alias("token")).filter(F.col("token") != BLOCK_TOKEN)
-    held = each.join(_by_rarest(sets, each), "token").filter(F.size(F.array_except("antecedent", "items")) == 0)
-    counted = sets.join(held.groupBy("antecedent").agg(F.count("*").alias("n")), "antecedent")
-    rules = counted.filter(lower_end(F.col("n_bad"), F.col("n")) >= min_confidence).select(
-        "antecedent", (F.col("n_bad") / F.col("n")).alias("confidence"), (F.col("n_bad") / n_all).alias("support"))
-    rules = written(rules, "url-rules")
-    # a rule says nothing new if a shorter one within it is at least as confident: found through shared tokens
-    listed_ = rules.select("antecedent", "confidence", F.explode("antecedent").alias("token"))
-    short = rules.select(F.col("antecedent").alias("inner"), F.col("confidence").alias("inner_confidence"), F.col("antecedent")[0].alias("token"))
-    implied = (listed_.join(short, "token")
-               .filter((F.size("inner") < F.size("antecedent")) & (F.size(F.array_except("inner", "antecedent")) == 0)
-                       & (F.col("inner_confidence") >= F.col("confidence")))
-               .select("antecedent").distinct())
-    return rules.join(implied, "antecedent", "left_anti")
+    sets = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / bad.count())).fit(bad).freqItemsets
+    sets = written(sets.filter("size(items) > 1").select(F.array_sort("items").alias("antecedent"), F.col("freq").alias("n_bad")), "url-sets")
+    held = _holding(merged.select("page", F.col("items").alias("tokens")), sets)
+    rules = sets.join(held.groupBy("antecedent").agg(F.count("*").alias("n")), "antecedent")
+    rules = written(rules.filter(lower_end(F.col("n_bad"), F.col("n")) >= min_confidence).select("antecedent", share, support), "url-rules")
+    # a rule says nothing new if a shorter one within it is at least as confident: found through the shorter one's rarest token
+    short = rules.select(F.col("antecedent").alias("inner"), F.col("confidence").alias("inner_confidence"))
+    inside = _holding(rules.select(F.col("antecedent").alias("tokens"), "confidence"), rules.select("antecedent"))
+    implied = (inside.filter(F.size("antecedent") < F.size("tokens")).join(short, F.col("inner") == F.col("antecedent"))
+               .filter(F.col("inner_confidence") >= F.col("confidence")).select(F.col("tokens").alias("antecedent")).distinct())
+    return Mined(single.unionByName(rules.join(implied, "antecedent", "left_anti")), names)
 
 
 def _by_rarest(sets: DataFrame, each: DataFrame) -> DataFrame:
@@ -122,11 +134,18 @@ def _by_rarest(sets: DataFrame, each: DataFrame) -> DataFrame:
     return entries.groupBy("antecedent").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
 
 
-def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def _holding(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of (tokens, ...) with each set (antecedent) that they hold, found under the set's rarest token."""
+    each = rows.withColumn("token", F.explode("tokens"))
+    return each.join(_by_rarest(sets, each.select("token")), "token").filter(F.size(F.array_except("antecedent", "tokens")) == 0).drop("token")
+
+
+def matches(urls: DataFrame, mined: Mined) -> DataFrame:
     """Distinct urls (url, tokens) on which at least one rule holds, through the rules' rarest tokens."""
-    each = urls.select("url", "tokens", F.explode("tokens").alias("token"))
-    held = each.join(_by_rarest(rules, each), "token").filter(F.size(F.array_except("antecedent", "tokens")) == 0)
-    return held.select("url").distinct()
+    named = (urls.select("url", F.explode("tokens").alias("token")).join(mined.names, "token")
+             .groupBy("url").agg(F.collect_set("named").alias("named")))
+    known = urls.join(named, "url", "left").select("url", F.array_union("tokens", F.coalesce("named", F.array().cast("array<string>"))).alias("tokens"))
+    return _holding(known, mined.rules.select("antecedent")).select("url").distinct()
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
@@ -142,7 +161,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_confidence: floa
     marked = (own.join(bad, "page_id").filter(F.col("toxic").isNotNull() & F.col("url").isNotNull())
               .select(tokens(F.col("url"), host, path).alias("t"), "toxic").filter(F.size("t") > 0)
               .select(F.when(F.col("toxic") > 0, F.array_append("t", F.lit(BLOCK_TOKEN))).otherwise(F.col("t")).alias("items")))
-    mined = written(mine(marked, min_confidence), "url-kept-rules")
+    found = mine(marked, min_confidence)
+    mined = Mined(written(found.rules, "url-kept-rules"), found.names)
     distinct = own.filter(F.col("url").isNotNull()).select("url").distinct()
     distinct = distinct.select("url", tokens(F.col("url"), host, path).alias("tokens"))
     blocked = written(matches(distinct, mined).withColumn("hit", F.lit(True)), "url-blocked")
