@@ -74,9 +74,15 @@ def parsed(spark: SparkSession, sf_dir: str) -> I.Parsed:
     return wh.staged(report)
 
 
+_STARS: dict[str, I.Star] = {}
+
+
 def star(spark: SparkSession, sf_dir: str) -> I.Star:
+    """The snapshot of the session's load; its folders are listed once."""
     wh, _ = warehouse(spark, sf_dir)
-    return wh.star()
+    if wh.root not in _STARS:
+        _STARS[wh.root] = wh.star()
+    return _STARS[wh.root]
 
 
 def parts(spark: SparkSession, sf_dir: str) -> G.GoldParts:
@@ -314,6 +320,22 @@ def q_schema_report(spark, sf_dir):
     return L.schema_report(spark, _landed_lines(spark, sf_dir), multi_line=False)
 
 
+def _conflicting_lines(spark, sf_dir):
+    """The landed series, the values of every third one given as text."""
+    lines = spark.read.text(_landed_lines(spark, sf_dir))
+    as_text = F.regexp_replace("value", r'"Valor":([0-9.Ee+-]+)', '"Valor":"$1"')
+    third = F.get_json_object("value", "$.series_pos").cast("long") % 3 == 0
+    return lines.select(F.when(third, as_text).otherwise(F.col("value")).alias("value"))
+
+
+def q_path_statistics(spark, sf_dir):
+    return L.path_statistics(_conflicting_lines(spark, sf_dir))
+
+
+def q_merged_types(spark, sf_dir):
+    return L.merged_types(L.path_statistics(_conflicting_lines(spark, sf_dir)))
+
+
 def q_export_roundtrip(spark, sf_dir):
     index = parts(spark, sf_dir).index.select("valor_ipc", "categoria_gasto", "fecha_iso", "indicador")
     path = E.write_csv(index, _scratch(spark, "export-ipc-csv"))
@@ -415,6 +437,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wages_by_sector_dataset": q_wages_by_sector_dataset,
     "model_rows_clean": q_model_rows_clean,
     "landing_roundtrip": q_landing_roundtrip,
+    "path_statistics": q_path_statistics,
+    "merged_types": q_merged_types,
     "export_roundtrip": q_export_roundtrip,
     "master_export": q_master_export,
     "master_preview": q_master_preview,

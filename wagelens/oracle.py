@@ -321,6 +321,18 @@ def _exact_split() -> str:
             f"(count(*) OVER () * {int(round(C.TEST_FRACTION * 100))} + 99) // 100 AS en_test FROM mi")
 
 
+def _paths(columns: str, where: str, rest: str = "") -> str:
+    """Paths of the landed series, values of every third series being text."""
+    series = "(SELECT DISTINCT code, series_pos, nombre FROM obs)"
+    datum = "obs WHERE data_pos IS NOT NULL"
+    parts = [("", "OBJECT", f"count(*) AS filas FROM {series}"), ("code", "INTEGER", f"count(code) FROM {series}"), ("series_pos", "INTEGER", f"count(series_pos) FROM {series}"),
+             ("Nombre", "STRING", f"count(nombre) FROM {series}"), ("Data", "ARRAY", f"count(*) FROM {series}"), ("Data[]", "OBJECT", f"count(*) FROM {datum}"),
+             ("Data[].Anyo", "INTEGER", f"count(anyo) FROM {datum}"), ("Data[].FK_Periodo", "INTEGER", f"count(fk_periodo) FROM {datum}"),
+             ("Data[].Valor", "FLOAT", f"count(valor) FROM {datum} AND series_pos % 3 <> 0"), ("Data[].Valor", "STRING", f"count(valor) FROM {datum} AND series_pos % 3 = 0")]
+    rows = " UNION ALL ".join(f"SELECT {_q(c)} AS campo, {_q(t)} AS tipo, {q}" for c, t, q in parts)
+    return f"SELECT {columns} FROM ({rows}) WHERE {where}{rest}"
+
+
 def _zeros(columns: str, rows: list[tuple]) -> str:
     values = ", ".join("(" + ", ".join(_q(x) for x in r) + ", CAST(0 AS BIGINT))" for r in rows)
     return f"SELECT * FROM (VALUES {values}) AS t({columns})"
@@ -370,6 +382,8 @@ def oracle_sql() -> dict[str, str]:
         "schema_report": ("SELECT * FROM (VALUES ('code', 'INTEGER'), ('series_pos', 'INTEGER'), ('Nombre', 'STRING'), "
                           "('Data', 'ARRAY'), ('Data[].Anyo', 'INTEGER'), ('Data[].FK_Periodo', 'INTEGER'), "
                           "('Data[].Valor', 'FLOAT')) AS t(campo, tipo)"),
+        "path_statistics": _paths("campo, tipo, filas", "filas > 0"),
+        "merged_types": _paths("campo, CASE WHEN count(*) = 1 THEN any_value(tipo) ELSE 'STRING' END AS tipo", "filas > 0", " GROUP BY campo"),
         "model_test_actuals": f"SELECT salario AS \"real\" FROM ({_exact_split()}) WHERE en_test",
         "exact_split": _exact_split(),
         "forest_rules": _zeros("bosque, rule, violations", [(b, r) for b in ("200", "50", "app") for r in (

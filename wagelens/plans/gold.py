@@ -24,33 +24,41 @@ from wagelens.operators.joins import join_checked
 from wagelens.plans.ingest import Star
 
 
+def _dated(facts: DataFrame, star: Star) -> DataFrame:
+    """Facts with their date.  Stored facts lie in folders by year: the join takes the year along, so that a filter on the
+    date prunes the folders (dynamic partition pruning) before anything is read."""
+    if S.FACT_YEAR in facts.columns:
+        per = star.periodo.select("id_periodo", "fecha_iso", F.col("anio").alias(S.FACT_YEAR))
+        return facts.join(per, ["id_periodo", S.FACT_YEAR])
+    return facts.join(star.periodo.select("id_periodo", "fecha_iso"), "id_periodo")
+
+
 def _dims(star: Star):
-    per = star.periodo.select("id_periodo", "fecha_iso")
     ind = F.broadcast(star.indicador.select("id_indicador", F.col("nombre").alias("_ind")))  # <= 7 rows
     geo = star.geografia.select("id_geografia", F.col("nombre").alias("_geo"))
-    return per, ind, geo
+    return ind, geo
 
 
 def read_prices(star: Star) -> DataFrame:
     """valor_ipc, categoria_gasto, fecha_iso, indicador (no geography)."""
-    per, ind, _ = _dims(star)
-    return (star.precios.join(per, "id_periodo").join(ind, "id_indicador")
+    ind, _ = _dims(star)
+    return (_dated(star.precios, star).join(ind, "id_indicador")
             .select(F.col("valor").alias("valor_ipc"), "categoria_gasto", "fecha_iso",
                     F.col("_ind").alias("indicador")))
 
 
 def read_wages(star: Star) -> DataFrame:
     """valor_salario, sexo, sector_cnae, ocupacion_cno11, fecha_iso, indicador_salario, comunidad."""
-    per, ind, geo = _dims(star)
-    return (star.salarios.join(per, "id_periodo").join(ind, "id_indicador").join(geo, "id_geografia")
+    ind, geo = _dims(star)
+    return (_dated(star.salarios, star).join(ind, "id_indicador").join(geo, "id_geografia")
             .select(F.col("valor").alias("valor_salario"), "sexo", "sector_cnae", "ocupacion_cno11",
                     "fecha_iso", F.col("_ind").alias("indicador_salario"), F.col("_geo").alias("comunidad")))
 
 
 def read_employment(star: Star) -> DataFrame:
     """valor_empleo, sexo, fecha_iso, indicador_empleo."""
-    per, ind, _ = _dims(star)
-    return (star.empleo.join(per, "id_periodo").join(ind, "id_indicador")
+    ind, _ = _dims(star)
+    return (_dated(star.empleo, star).join(ind, "id_indicador")
             .select(F.col("valor").alias("valor_empleo"), "sexo", "fecha_iso",
                     F.col("_ind").alias("indicador_empleo")))
 
@@ -61,9 +69,9 @@ def model_input(star: Star) -> DataFrame:
     Predicates as in the source query: sector not NULL, sex not 'Total' (which
     also drops NULL), date not NULL / not empty; then drop-nulls on all columns.
     """
-    per, _, geo = _dims(star)
+    _, geo = _dims(star)
     fecha = F.date_format("fecha_iso", "yyyy-MM-dd")
-    df = (star.salarios.join(per, "id_periodo").join(geo, "id_geografia")
+    df = (_dated(star.salarios, star).join(geo, "id_geografia")
           .where(F.col("sector_cnae").isNotNull() & (F.col("sexo") != C.TOTAL)
                  & F.col("fecha_iso").isNotNull() & (fecha != ""))
           .select(F.col("valor").cast("double").alias("salario"), "sector_cnae", "sexo",
@@ -75,9 +83,9 @@ def model_input(star: Star) -> DataFrame:
 
 def app_input(star: Star) -> DataFrame:
     """Salario, sector_cnae, sexo, comunidad, fecha_iso (text); sector not 'N/A', date not empty."""
-    per, _, geo = _dims(star)
+    _, geo = _dims(star)
     fecha = F.date_format("fecha_iso", "yyyy-MM-dd")
-    return (star.salarios.join(per, "id_periodo").join(geo, "id_geografia")
+    return (_dated(star.salarios, star).join(geo, "id_geografia")
             .where((F.col("sector_cnae") != C.NOT_AVAILABLE) & (fecha != ""))
             .select(F.col("valor").alias("salario"), "sector_cnae", "sexo",
                     F.col("_geo").alias("comunidad"), fecha.alias("fecha_iso")))

@@ -157,11 +157,15 @@ class Star:
     empleo: DataFrame
     empty: bool = False
 
-    def table(self, name: str) -> DataFrame:
-        return {
+    def table(self, name: str) -> DataFrame | None:
+        """A table with the columns of its schema (stored facts also carry their year, see ``gold``)."""
+        found = {
             "tbl_periodo": self.periodo, "tbl_indicador": self.indicador, "tbl_geografia": self.geografia,
             "T_precios": self.precios, "T_salarios": self.salarios, "T_empleo": self.empleo,
-        }[name]
+        }
+        if name not in found:
+            raise S.UnknownTable(name)
+        return None if found[name] is None else found[name].select(*S.TABLES[name].fieldNames())
 
     def union(self, other: "Star") -> "Star":
         """Table-wise union (None tables of ``other`` keep this side's table)."""
@@ -214,11 +218,13 @@ def new_dimensions(rows: DataFrame, stored: Star) -> tuple[DataFrame, DataFrame,
     return d_per, d_ind, d_geo
 
 
-def new_facts(rows: DataFrame, dims: Star, stored: Star, null_keys_conflict: bool = False) -> dict[str, DataFrame]:
+def new_facts(rows: DataFrame, dims: Star, stored: Star, null_keys_conflict: bool = False,
+              years: bool = False) -> dict[str, DataFrame]:
     """New fact rows of one load: first row wins per key, stored keys ignored.
 
     ``dims`` must hold every dimension member the rows refer to (stored + new).
     A datum gives at most one row; a NULL value or NOT NULL column skips it.
+    ``years`` adds the year of the period, which follows from the key.
     """
     data = rows.filter(F.col("has_datum") & F.col("valor").isNotNull())
     data = (
@@ -231,12 +237,12 @@ def new_facts(rows: DataFrame, dims: Star, stored: Star, null_keys_conflict: boo
         part = data.filter(F.col("target") == table)
         for c in S.FACT_NOT_NULL[table]:
             part = part.filter(F.col(c).isNotNull())
-        keys = S.FACT_KEYS[table]
-        firsts = first_wins(part.select(*keys, "valor", "ord"), keys, ["valor"],
-                            null_keys_conflict=null_keys_conflict)
+        keys, more = S.FACT_KEYS[table], [S.FACT_YEAR] if years else []
+        part = part.withColumn(S.FACT_YEAR, F.year("fecha_iso")).select(*keys, *more, "valor", "ord")
+        firsts = first_wins(part, [*keys, *more], ["valor"], null_keys_conflict=null_keys_conflict)
         if not stored.empty:
             firsts = insert_or_ignore(firsts, stored.table(table), keys, null_keys_conflict)
-        facts[table] = firsts.select(*S.TABLES[table].fieldNames())
+        facts[table] = firsts.select(*S.TABLES[table].fieldNames(), *more)
     return facts
 
 

@@ -76,6 +76,17 @@ TABLES = {
     "T_empleo": T_EMPLEO,
 }
 
+# The year of a fact's period: a folder of the stored facts, derived at load; it follows from id_periodo, so it is part of no key.
+FACT_YEAR = "anio_hecho"
+
+
+class UnknownTable(KeyError):
+    """A load or a read names a table that is none of the star schema's."""
+
+    def __str__(self) -> str:
+        return f"the table {self.args[0]!r} does not exist; the tables are {', '.join(TABLES)}"
+
+
 # Unique keys of the facts (insert-or-ignore targets).
 FACT_KEYS = {
     "T_precios": ["id_periodo", "id_indicador", "id_geografia", "categoria_gasto"],

@@ -20,11 +20,14 @@ where they are not.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wagelens import schemas as S
+from wagelens.session import scratch_path
 
 CODE_PATTERN = r"(\d+)\.json[a-z]*$"
 
@@ -158,3 +161,51 @@ def schema_report(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     _flatten(schema, "", rows)
     out = T.StructType([T.StructField("campo", T.StringType()), T.StructField("tipo", T.StringType())])
     return spark.createDataFrame(rows, out)
+
+
+def path_statistics(values: DataFrame, column: str = "value") -> DataFrame:
+    """S3 on the raw text: campo, tipo, filas for every path of the JSON values and every type found there.
+
+    A value is read as VARIANT and taken apart level by level: object fields by their name, array elements as ``[]``.
+    A path that holds numbers here and texts there has a row for each; text that is no JSON is an UNREADABLE value of
+    the path ''.  A value may have up to 16 MB (a series, or a line); split documents with ``document_values`` first.
+    """
+    spark = values.sparkSession
+    raw = F.col(column).cast("string")
+    level = values.where(raw.isNotNull()).select(F.lit("").alias("campo"), F.try_parse_json(raw).alias("v"))
+    found = None
+    while True:
+        path = scratch_path(spark, f"paths-{uuid.uuid4().hex}")  # each level is read from the one above it, not from the start
+        level.write.parquet(path)
+        level = spark.read.schema(level.schema).parquet(path)
+        counted = level.groupBy("campo", _variant_label(F.col("v")).alias("tipo")).agg(F.count("*").alias("filas"))
+        found = counted if found is None else found.unionByName(counted)
+        inner = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        name = F.when(F.col("key").isNull(), F.concat("campo", F.lit("[]"))).when(F.col("campo") == "", F.col("key")).otherwise(F.concat_ws(".", "campo", "key"))
+        following = inner.select(name.alias("campo"), F.col("value").alias("v"))
+        if following.isEmpty():
+            return found
+        level = following
+
+
+def document_values(docs: DataFrame, column: str = "value") -> DataFrame:
+    """The elements of documents that are arrays, as text (a document may have any size); other documents as they are."""
+    text = F.col(column).cast("string")
+    parts = F.from_json(text, "array<string>")
+    return docs.select(F.explode(F.when(text.rlike(r"^\s*\[") & parts.isNotNull(), parts).otherwise(F.array(text))).alias("value"))
+
+
+def merged_types(statistics: DataFrame) -> DataFrame:
+    """campo, tipo of a schema that holds every value: INTEGER and FLOAT make FLOAT, any other conflict STRING, NULL gives way."""
+    kinds = F.array_remove(F.collect_set("tipo"), "NULL")
+    one = statistics.groupBy("campo").agg(F.sort_array(kinds).alias("k"))
+    return one.select("campo", F.when(F.size("k") == 0, "NULL").when(F.size("k") == 1, F.col("k")[0])
+                      .when(F.col("k") == F.array(F.lit("FLOAT"), F.lit("INTEGER")), "FLOAT").otherwise("STRING").alias("tipo"))
+
+
+def _variant_label(v: Column) -> Column:
+    kind = F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    label = F.when(v.isNull(), "UNREADABLE")
+    for names, to in ((("BIGINT",), "INTEGER"), (("DECIMAL", "DOUBLE", "FLOAT"), "FLOAT"), (("VOID",), "NULL")):
+        label = label.when(kind.isin(*names), to)
+    return label.otherwise(kind)
