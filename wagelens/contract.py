@@ -27,6 +27,7 @@ from wagelens.session import scratch_path, session_key
 from wagelens.sources import export as E
 from wagelens.sources import landing as L
 from wagelens.sources.warehouse import LoadReport, Warehouse
+from wagelens.streaming.gold_view import GoldView
 
 DECIMALS = 4
 
@@ -176,6 +177,27 @@ def q_distinct_filters(spark, sf_dir):
     return SM.distinct_filters(G.gold_parts(s, strip_sector=False), G.app_input(s))
 
 
+def _incremental(spark, sf_dir):
+    """A warehouse loaded in three batches (by year, so no key is in two), each batch's moments written as it comes."""
+    key = (session_key(spark), os.path.abspath(sf_dir), "batches")
+    if key not in _WAREHOUSES:
+        wh = Warehouse(spark)
+        obs = D.observations(spark, sf_dir)
+        for i in range(3):
+            report = wh.load(obs.where(F.pmod(F.coalesce("anyo", F.lit(0)), F.lit(3)) == i), load_id=f"batch-{i}")
+            GoldView(wh).refresh()
+        _WAREHOUSES[key] = (wh, report)
+    return GoldView(_WAREHOUSES[key][0]).moments()
+
+
+def q_incremental_ratio_stats(spark, sf_dir):
+    return _rounded(SM.ratio_stats(_incremental(spark, sf_dir)), ["media", "max", "std"])
+
+
+def q_incremental_trend(spark, sf_dir):
+    return _rounded(SM.wage_trend_region(_incremental(spark, sf_dir)), ["valor_salario"])
+
+
 # ------------------------------------------------------------------ ingestion
 
 
@@ -438,6 +460,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_rows_clean": q_model_rows_clean,
     "landing_roundtrip": q_landing_roundtrip,
     "path_statistics": q_path_statistics,
+    "incremental_ratio_stats": q_incremental_ratio_stats,
+    "incremental_trend": q_incremental_trend,
     "merged_types": q_merged_types,
     "export_roundtrip": q_export_roundtrip,
     "master_export": q_master_export,

@@ -59,9 +59,12 @@ def unemployment_side(paro: DataFrame) -> DataFrame:
 def blocks(wages: DataFrame, index: DataFrame, paro: DataFrame,
            grain: Sequence[str] = BLOCK_GRAIN) -> DataFrame:
     """One row per (fecha_iso, sexo, *grain) with the block's fan-out moments."""
-    b = (wage_side(wages, grain)
-         .join(index_side(index), "fecha_iso")
-         .join(unemployment_side(paro), ["fecha_iso", "sexo"]))
+    return joined(wage_side(wages, grain), index_side(index), unemployment_side(paro), grain)
+
+
+def joined(wage_moments: DataFrame, index_moments: DataFrame, paro_moments: DataFrame, grain: Sequence[str]) -> DataFrame:
+    """Blocks from the three sides' moments."""
+    b = wage_moments.join(index_moments, "fecha_iso").join(paro_moments, ["fecha_iso", "sexo"])
     n_pe = F.col("n_p") * F.col("n_e")
     return b.select(
         "fecha_iso", "sexo", *grain,
@@ -77,6 +80,15 @@ def blocks(wages: DataFrame, index: DataFrame, paro: DataFrame,
     )
 
 
+def merged(moments: DataFrame, keys: Sequence[str], suffix: str, value: str) -> DataFrame:
+    """Moments n, s, m, v, max (named as a side's are) of several sets of rows added up per key, by Chan's formula."""
+    n, s, m, v, top = (f"n_{suffix}", f"s_{value}", f"m_{value}", f"v_{value}", f"max_{value}")
+    own = Window.partitionBy(*keys)
+    dev = F.col(m) - F.sum(s).over(own) / F.sum(n).over(own)
+    parts = moments.select(*keys, n, s, v, top, (F.col(n) * (F.col(v) + dev * dev)).alias("_m2"))
+    return parts.groupBy(*keys).agg(F.sum(n).alias(n), F.sum(s).alias(s), (F.sum(s) / F.sum(n)).alias(m), (F.sum("_m2") / F.sum(n)).alias(v), F.max(top).alias(top))
+
+
 def weighted_means(block_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fan-out-weighted means per key: n, mean wage, mean ratio, mean unemployment."""
     return block_df.groupBy(*keys).agg(

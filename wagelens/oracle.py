@@ -363,6 +363,8 @@ def oracle_sql() -> dict[str, str]:
                f"{_q(X.WAGE_COST_WORD)}))")
     q = {
         "ratio_stats": stats,
+        "incremental_ratio_stats": stats,
+        "incremental_trend": trend.format(extra=""),
         "ratio_stats_materialised": stats,
         "price_index_general": "SELECT valor_ipc, categoria_gasto, fecha_iso, indicador FROM idx",
         "price_chart": ("SELECT fecha_iso, valor_ipc, categoria_gasto, indicador FROM (SELECT *, row_number() OVER "

@@ -11,6 +11,7 @@ materialised on request (export, checks).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,7 @@ from wagelens import constants as C
 from wagelens import schemas as S
 from wagelens.functions.filters import not_null_all, sex_code, year_from_text
 from wagelens.functions.series import strip_ws
+from wagelens.operators import factorised as FZ
 from wagelens.operators.joins import join_checked
 from wagelens.plans.ingest import Star
 
@@ -135,6 +137,14 @@ class GoldParts:
         """
         return GoldParts(self.wages.where(cond), self.index, self.paro)
 
+    def blocks(self, grain: Sequence[str]) -> DataFrame:
+        """The fan-out's moments per (fecha_iso, sexo, *grain), the fan-out itself not being built."""
+        return FZ.blocks(self.wages, self.index, self.paro, grain)
+
+    def latest_index(self) -> DataFrame:
+        """Q7: value of the last index row by date; ties broken by (indicador, valor_ipc) descending."""
+        return self.index.agg(F.max(F.struct("fecha_iso", "indicador", "valor_ipc")).alias("l")).select(F.col("l.valor_ipc").alias("valor"))
+
     def relation(self) -> DataFrame:
         """Q2: the materialised gold relation, 13 columns in source order.
 

@@ -62,7 +62,7 @@ def ratio_stats(parts: GoldParts, method: str = FACTORISED) -> DataFrame:
         r = F.col("ratio_poder_adquisitivo")
         return parts.relation().groupBy(*keys).agg(
             F.avg(r).alias("media"), F.max(r).alias("max"), F.stddev_samp(r).alias("std"))
-    b = FZ.blocks(parts.wages, parts.index, parts.paro, keys)
+    b = parts.blocks(keys)
     return FZ.ratio_moments(b, keys).select(*keys, "media", "max", "std")
 
 
@@ -80,7 +80,7 @@ def wage_trend_region(parts: GoldParts, years: Iterable | None = None, regions:
     if method == MATERIALISED:
         out = p.relation().groupBy(*keys).agg(F.avg("valor_salario").alias("valor_salario"))
     else:
-        b = FZ.blocks(p.wages, p.index, p.paro, ["comunidad"])
+        b = p.blocks(["comunidad"])
         out = FZ.weighted_means(b, keys).select(*keys, F.col("mean_wage").alias("valor_salario"))
     return out.orderBy("fecha_iso", "comunidad")
 
@@ -100,7 +100,7 @@ def purchasing_power_rank(parts: GoldParts, years: Iterable | None = None, sexes
     if method == MATERIALISED:
         out = p.relation().groupBy(*keys).agg(F.avg("ratio_poder_adquisitivo").alias("ratio_poder_adquisitivo"))
     else:
-        b = FZ.blocks(p.wages, p.index, p.paro, keys)
+        b = p.blocks(keys)
         out = FZ.weighted_means(b, keys).select(*keys, F.col("mean_ratio").alias("ratio_poder_adquisitivo"))
     return out.orderBy(F.desc("ratio_poder_adquisitivo"), "sector_cnae", "sexo")
 
@@ -116,7 +116,7 @@ def region_summary(parts: GoldParts, method: str = FACTORISED) -> DataFrame:
         return p.relation().groupBy("comunidad").agg(
             F.avg("valor_salario").alias("salario_medio"),
             F.avg("ratio_poder_adquisitivo").alias("poder_adquisitivo"))
-    b = FZ.blocks(p.wages, p.index, p.paro, ["comunidad"])
+    b = p.blocks(["comunidad"])
     return FZ.weighted_means(b, ["comunidad"]).select(
         "comunidad", F.col("mean_wage").alias("salario_medio"), F.col("mean_ratio").alias("poder_adquisitivo"))
 
@@ -132,22 +132,16 @@ def region_map(parts: GoldParts, method: str = FACTORISED) -> DataFrame:
 # ------------------------------------------------------------------ Q7
 
 
-def latest_index(index: DataFrame) -> DataFrame:
-    """Value of the last index row by date; ties broken by (indicador, valor_ipc) descending."""
-    last = F.max(F.struct("fecha_iso", "indicador", "valor_ipc")).alias("l")
-    return index.agg(last).select(F.col("l.valor_ipc").alias("valor"))
-
-
 def dashboard_kpis(parts: GoldParts, method: str = FACTORISED) -> DataFrame:
     """Long form (kpi, valor, texto): latest index, mean wage, mean unemployment."""
     _check(method)
     if method == MATERIALISED:
         means = parts.relation().agg(F.avg("valor_salario").alias("w"), F.avg("valor_empleo").alias("e"))
     else:
-        b = FZ.blocks(parts.wages, parts.index, parts.paro, [])
+        b = parts.blocks([])
         means = b.agg((F.sum("sum_wage") / F.sum("n")).alias("w"),
                       (F.sum("sum_unemployment") / F.sum("n")).alias("e"))
-    kpis = (latest_index(parts.index).select(F.lit("ipc_actual").alias("kpi"), "valor")
+    kpis = (parts.latest_index().select(F.lit("ipc_actual").alias("kpi"), "valor")
             .unionByName(means.selectExpr("stack(2, 'salario_medio', w, 'paro_medio', e) AS (kpi, valor)")))
     wage = F.col("kpi") == "salario_medio"  # only the wage is shown with thousands separators
     return kpis.withColumn("texto", F.when(wage, kpi_format(F.col("valor"), 2))
@@ -192,7 +186,7 @@ def master_preview(app: DataFrame, region=C.ALL_REGIONS, rows: int = PREVIEW_ROW
 
 def distinct_filters(parts: GoldParts, app: DataFrame) -> DataFrame:
     """Sorted option lists of the dashboard/app selectors, long form (filtro, valor)."""
-    gold_keys = FZ.blocks(parts.wages, parts.index, parts.paro, ["sector_cnae", "comunidad"]) \
+    gold_keys = parts.blocks(["sector_cnae", "comunidad"]) \
         .select("fecha_iso", "sector_cnae", "comunidad").distinct()
     def option(name: str, value: Column) -> Column:
         return F.struct(F.lit(name).alias("filtro"), value.cast("string").alias("valor"))

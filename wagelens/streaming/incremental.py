@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wagelens.sources import landing as L
 from wagelens.sources.warehouse import Warehouse
 from wagelens.session import scratch_path
+from wagelens.streaming.gold_view import GoldView
 
 
 def batch_load_id(checkpoint: str, epoch_id: int) -> str:
@@ -28,8 +29,11 @@ def batch_load_id(checkpoint: str, epoch_id: int) -> str:
 
 
 def start(spark: SparkSession, landing_dir: str, warehouse_root: str, checkpoint: str | None = None,
-          available_now: bool = True) -> StreamingQuery:
-    """Stream ``<code>.json`` documents from ``landing_dir`` into the warehouse at ``warehouse_root``."""
+          available_now: bool = True, keep_view: bool = False) -> StreamingQuery:
+    """Stream ``<code>.json`` documents from ``landing_dir`` into the warehouse at ``warehouse_root``.
+
+    ``keep_view`` also writes each batch's moments for the summaries (``gold_view``).
+    """
     checkpoint = checkpoint or scratch_path(spark, "stream-" + warehouse_root.rstrip("/").split("/")[-1])
     wh = Warehouse(spark, warehouse_root)
     raw = (spark.readStream.format("text").option("wholetext", True).load(landing_dir)
@@ -37,6 +41,8 @@ def start(spark: SparkSession, landing_dir: str, warehouse_root: str, checkpoint
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         wh.load(L.observations_from_documents(L.documents(batch)), load_id=batch_load_id(checkpoint, epoch_id))
+        if keep_view:
+            GoldView(wh).refresh()
 
     writer = raw.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
