@@ -5,10 +5,10 @@ document is a chunk of its own), so memory follows the longest document and not
 
 * A word is a maximal run of bytes marked in a 256-entry table (multi-byte UTF-8 characters are runs of bytes
   from 0x80 on, so byte tables express the character classes used here).
-* A word's hash is two polynomials over random byte values, each modulo the prime 2^31 - 1 and with a base of its own,
-  read off prefix sums; the 62 bits are finalised.  (Modulo a power of two, texts like the Thue-Morse word and its
-  complement agree under every base.)
-* A window's hash is the same over word hashes; ``window_hashes`` gives two such values of independent bits.
+* A word of up to 16 bytes is read as two numbers, which are mixed.  A longer one is hashed by two polynomials over
+  random byte values, each modulo the prime 2^31 - 1 and with a base of its own, read off prefix sums; the 62 bits are
+  finalised.  (Modulo a power of two, texts like the Thue-Morse word and its complement agree under every base.)
+* A window's hash is two such polynomials over word hashes; ``window_hashes`` gives two values of independent bits.
 * A minimiser is the least k-gram of a window; consecutive windows share theirs, so about 2 / (length - k + 2) of all
   positions are minimisers.
 
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 500_000
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _PRIME = 2**31 - 1
@@ -31,6 +31,9 @@ _P, _P_BITS = np.uint64(_PRIME), np.uint64(31)
 _BYTE_VALUE = _rng.integers(1, _PRIME, size=(2, 256), dtype=np.uint64)
 #: Two bases each for words, windows, and windows a second time.
 _BASES = tuple(int(x) for x in _rng.integers(2**20, _PRIME - 1, size=6))
+#: Masks of the first 0 to 8 bytes of a little-endian number.
+_FIRST = np.array([256**i - 1 for i in range(9)], dtype=np.uint64)
+_SALT, _ODD = (np.uint64(int(x) | 1) for x in _rng.integers(2**60, 2**63, size=2))
 MAX64 = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 #: Word characters: everything but space and 0x09-0x0D.
@@ -49,10 +52,13 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _mod(x: np.ndarray) -> np.ndarray:
-    """x modulo the prime, for any 64-bit x: its parts of 31 bits are added up."""
-    x = (x & _P) + (x >> _P_BITS)
-    x = (x & _P) + (x >> _P_BITS)
-    return np.where(x >= _P, x - _P, x)
+    """x modulo the prime, for any 64-bit x: its parts of 31 bits are added up.  Works in the array that is given."""
+    for _ in range(2):
+        high = x >> _P_BITS
+        x &= _P
+        x += high
+    np.subtract(x, _P, out=x, where=x >= _P)
+    return x
 
 
 def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +71,7 @@ def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             p = np.ones(1, dtype=np.uint64)
             while len(p) < size:
                 p = np.concatenate([p, _mod(p * np.uint64(pow(b, len(p), _PRIME)))])
-            tables.append(p)
+            tables.append(p.astype(np.uint32))
         have = _powers[base] = (tables[0], tables[1])
     return have
 
@@ -113,8 +119,20 @@ class Words:
         return np.repeat(np.arange(self.n_docs), self.counts)
 
     def word_hashes(self) -> np.ndarray:
-        one, two = (_ranges(_BYTE_VALUE[i][self.data], _BASES[i], self.start, self.end) for i in range(2))
-        return mix(_pair(one, two) + ((self.end - self.start).astype(np.uint64) << np.uint64(62)))
+        size = self.end - self.start
+        padded = np.concatenate([self.data, np.zeros(16, dtype=np.uint8)])
+        eight = np.ndarray(len(self.data) + 9, dtype="<u8", buffer=padded, strides=(1,))  # the 8 bytes from every byte on
+        low = eight[self.start] & _FIRST[np.minimum(size, 8)]
+        high = eight[np.minimum(self.start + 8, len(self.data))] & _FIRST[np.clip(size - 8, 0, 8)]
+        h = mix(mix(low + _SALT) + high * _ODD + size.astype(np.uint64))
+        long = np.flatnonzero(size > 16)
+        if len(long):
+            length = size[long]
+            begin = np.r_[0, np.cumsum(length)]
+            data = self.data[np.repeat(self.start[long] - begin[:-1], length) + np.arange(begin[-1])]
+            one, two = (_ranges(_BYTE_VALUE[i][data], _BASES[i], begin[:-1], begin[1:]) for i in range(2))
+            h[long] = mix(_pair(one, two) + (length.astype(np.uint64) << np.uint64(62)))
+        return h
 
     def fits(self, length: int) -> np.ndarray:
         """For each word: do ``length`` words starting here stay in its document?"""
