@@ -1,9 +1,9 @@
-"""Substring deduplication over a token De Bruijn graph (operator 5).
+"""Substring deduplication (operator 5): exact, by token k-grams and their contexts and not by compacting a graph.
 
-Token k-grams at minimiser positions are the nodes' edges into the text before and after them; a k-gram visited twice
-or more whose visits all have one context is a nonbranching piece of a path.  The marks of repeated k-grams are joined
-back to the documents, where runs of nonbranching k-grams compact into one path occurrence, and the words at the
-source coordinates of each path (and of each window at a branching k-gram) are compared before anything is removed.
+This borrows from the De Bruijn graph, but builds no edge table and joins no paths.  Token k-grams at minimiser positions
+are grouped by hash; one that is met twice or more, always with one context hash, is unambiguous.  The marks of repeated
+k-grams are joined back to the documents, where runs of unambiguous ones become one span, and the words at the source
+coordinates of each span (and of each window at an ambiguous k-gram) are compared by two hashes before anything is removed.
 
 Result: every word covered by a window of ``length`` consecutive words whose sequence also starts anywhere else (same
 document included, overlapping included) is removed; windows are judged on the input.

@@ -1,9 +1,10 @@
-"""Sparse-suffix-array deduplication (operator 10).
+"""Repeated passages, one copy of each kept (operator 10): exact, by hashes of sparse suffixes and not by sorting them.
 
-Suffixes are retained only at minimiser positions.  They are sorted by their first k words and then by the text around
-them; suffixes that share k words are neighbours, and a suffix whose neighbours all agree with it up to the next
-retained suffix on both sides needs no more work.  The others are extended left and right: every placement of a
-``length``-word window around them is sorted by its text and compared with its neighbours in (doc_id, position) order.
+This is not a suffix array: the steps of the dealt method that are kept are the sparse suffixes at minimiser positions.
+They are grouped by a hash of their first k words; a group whose members all have the same context hash up to the next
+retained suffix on both sides needs no more work.  Around the others every placement of a ``length``-word window is
+grouped by two hashes of its words, in (doc_id, row key, position) order.  No suffix text is sorted, and no longest
+common prefix of neighbours is extended; the results are the same as if it were.
 
 Result: a word is repeated if it lies in a window of ``length`` consecutive words that occurs twice or more in the
 corpus, and removed if it lies in one that also occurs at an earlier (doc_id, row key, position).  So one copy of each
