@@ -22,7 +22,7 @@ from wagelens import schemas as S
 from wagelens.functions.filters import not_null_all, sex_code, year_from_text
 from wagelens.functions.series import strip_ws
 from wagelens.operators import factorised as FZ
-from wagelens.operators.joins import join_checked
+from wagelens.operators.joins import BROADCAST_MAX_BYTES, join_checked
 from wagelens.plans.ingest import Star
 
 
@@ -145,18 +145,19 @@ class GoldParts:
         """Q7: value of the last index row by date; ties broken by (indicador, valor_ipc) descending."""
         return self.index.agg(F.max(F.struct("fecha_iso", "indicador", "valor_ipc")).alias("l")).select(F.col("l.valor_ipc").alias("valor"))
 
-    def relation(self) -> DataFrame:
+    def relation(self, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
         """Q2: the materialised gold relation, 13 columns in source order.
 
         Both joins have very few distinct keys (dates, sexes), so a shuffle join
         would put a date's whole fan-out into one task.  The index and
-        unemployment sides are broadcast after a size check instead: the
-        fan-out is then produced map-side, spread like the wage side.  Beyond
-        the bound the join is a sort-merge join whose skewed partitions AQE splits.
+        unemployment sides are broadcast after a check of their bytes instead:
+        the fan-out is then produced map-side, spread like the wage side.
+        Beyond the bound a date's wages are dealt to several tasks, each with
+        the date's index and unemployment rows.
         """
-        joined = join_checked(self.wages, self.index, "fecha_iso")
+        joined = join_checked(self.wages, self.index, "fecha_iso", max_bytes=max_bytes)
         joined = joined.withColumn("ratio_poder_adquisitivo", F.col("valor_salario") / F.col("valor_ipc"))
-        joined = join_checked(joined, self.paro, ["fecha_iso", "sexo"])
+        joined = join_checked(joined, self.paro, ["fecha_iso", "sexo"], max_bytes=max_bytes)
         return joined.select(*S.GOLD_COLUMNS)
 
 
