@@ -155,3 +155,31 @@ def test_crc_is_of_the_tokenizers_ids(spark):
     ids = [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID]
     (row,) = packing.pack(spark.createDataFrame([(1, text)], DOCS)).collect()
     assert row.ids_crc32 == zlib.crc32(np.array(ids, dtype="<u4").tobytes()) and row.doc_tokens == len(ids)
+
+
+def test_quote_links_equal_their_sql(spark):
+    """The recursive SQL of the query, on conversations made to quote one another in every way."""
+    import duckdb
+
+    from wagelens.llm.oracle import ORACLE_SQL
+    rng = random.Random(9)
+    said = [f"Line {i} of what was said" for i in range(12)] + ["fine.", "  FINE. ", "Straße Ñ"]
+    rows = []
+    for conv in [None, 1, 2, 3, 4]:
+        for turn in [None, *sorted(rng.sample(range(40), 12))]:
+            lines = [rng.choice(["", "", "> ", ">> ", "> > ", " >"]) + rng.choice(said) for _ in range(rng.randint(0, 5))]
+            if rng.random() < 0.3:
+                lines.insert(0, rng.choice(["Bob wrote:", "Ana escribió :", "wrote:"]))
+            rows.append((conv, turn, rng.choice(["user", None]), rng.choice([None, "", "\n".join(lines), "\n\n" + "\n".join(lines) + "\n"]) if rng.random() < 0.2 else "\n".join(lines)))
+    rows += rows[5:8]
+    schema = "conv_id long, turn int, role string, text string"
+    got = quote_links.link(spark.createDataFrame(rows, schema).repartition(3))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn INTEGER, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    sql = con.sql(ORACLE_SQL["op7_quote_links"])
+    assert sorted(sql.columns) == sorted(got.columns)
+    at = sql.columns.index("sources")
+    expected = sorted((tuple([tuple(s.values()) for s in v] if i == at and v else v for i, v in enumerate(r)) for r in sql.fetchall()), key=str)
+    found = sorted((tuple([tuple(s) for s in r[c]] if c == "sources" and r[c] else r[c] for c in sql.columns) for r in got.collect()), key=str)
+    assert found == expected and any(r[at] for r in found)

@@ -1,6 +1,6 @@
 """DuckDB SQL of the operator queries that SQL can express, over whole tables.
 
-Without SQL: op3 (a trained classifier), op7 and op8 (reply trees, mined rules), op9 (tokenizer ids) and the pipeline;
+Without SQL: op3 (a trained classifier), op8 (mined rules), op9 (tokenizer ids), op11 (eigenvectors) and the pipeline;
 tests/llm compares those with brute force, round trips and held-out accuracy.
 """
 
@@ -116,6 +116,39 @@ reach(a, b) AS (SELECT r, r FROM d UNION SELECT reach.a, e.b FROM reach JOIN e O
 SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, min(t.doc_id) AS component_id, coalesce(l.n, 0) AS n_links
 FROM d LEFT JOIN z USING (r) LEFT JOIN l ON l.a = d.r JOIN reach ON reach.a = d.r JOIN d t ON t.r = reach.b GROUP BY d.r, d.doc_id, z.n, l.n"""
 
+_MARKS = r"'^((?:[ \t]*>)+)'"
+_OP7 = rf"""
+WITH RECURSIVE m AS (SELECT row_number() OVER () AS r, conv_id, turn, role, string_split(coalesce(text, ''), chr(10)) AS parts FROM conversations),
+l0 AS (SELECT r, conv_id, turn, unnest(parts) AS raw, unnest(range(len(parts))) AS i FROM m),
+l1 AS (SELECT *, regexp_extract(raw, {_MARKS}, 1) AS marks FROM l0),
+l2 AS (SELECT *, length(marks) - length(replace(marks, '>', '')) AS marked,
+         lower(trim(regexp_replace(regexp_replace(raw, {_MARKS}, ''), '[\x20\x09-\x0D]+', ' ', 'g'))) AS body FROM l1),
+l AS (SELECT *, CASE WHEN marked = 0 AND coalesce(lead(marked) OVER (PARTITION BY r ORDER BY i), 0) > 0
+                      AND regexp_matches(raw, '(?i)(wrote|schrieb|a écrit|escribió)[ \t]*:[ \t\r]*$') THEN -1 ELSE marked END AS level FROM l2),
+p AS (SELECT DISTINCT conv_id, turn, level, body FROM l WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND level >= 0 AND body <> ''),
+own AS (SELECT conv_id, turn, body FROM p WHERE level = 0),
+inn AS (SELECT q.conv_id, q.turn, q.level, q.body, max(own.turn) AS from_turn
+        FROM p q LEFT JOIN own ON own.conv_id = q.conv_id AND own.body = q.body AND own.turn < q.turn WHERE q.level > 0 GROUP BY q.conv_id, q.turn, q.level, q.body),
+w AS (SELECT body, conv_id, min(turn) AS turn FROM own GROUP BY body, conv_id),
+els AS (SELECT inn.conv_id, inn.turn, inn.level, inn.body, min({{'c': w.conv_id, 't': w.turn}}) AS place
+        FROM inn JOIN w ON w.body = inn.body AND w.conv_id <> inn.conv_id WHERE inn.from_turn IS NULL GROUP BY inn.conv_id, inn.turn, inn.level, inn.body),
+s AS (SELECT inn.conv_id, inn.turn, inn.level, CASE WHEN inn.from_turn IS NOT NULL THEN inn.conv_id ELSE els.place.c END AS from_conv,
+        coalesce(inn.from_turn, els.place.t) AS from_turn FROM inn LEFT JOIN els USING (conv_id, turn, level, body)),
+nodes AS (SELECT DISTINCT conv_id, turn FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+ins AS (SELECT conv_id, turn, level, from_turn, count(*) AS n FROM s WHERE from_conv = conv_id GROUP BY conv_id, turn, level, from_turn),
+best AS (SELECT conv_id, turn, max({{'l': -level, 'n': n, 'f': from_turn}}).f AS quoted FROM ins GROUP BY conv_id, turn),
+rep AS (SELECT conv_id, turn, coalesce(quoted, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn)) AS reply_to FROM nodes LEFT JOIN best USING (conv_id, turn)),
+tree(conv_id, turn, root, depth) AS (SELECT conv_id, turn, turn, 0 FROM rep WHERE reply_to IS NULL
+  UNION ALL SELECT rep.conv_id, rep.turn, tree.root, tree.depth + 1 FROM rep JOIN tree ON rep.conv_id = tree.conv_id AND rep.reply_to = tree.turn),
+a AS (SELECT conv_id, turn, count(*) AS n_quoted, count(from_turn) AS n_linked, max(level) AS deepest FROM s GROUP BY conv_id, turn),
+o1 AS (SELECT conv_id, turn, from_conv, from_turn, count(*) AS n FROM s WHERE from_turn IS NOT NULL GROUP BY conv_id, turn, from_conv, from_turn),
+o AS (SELECT conv_id, turn, list({{'from_conv': from_conv, 'from_turn': from_turn, 'n': n}} ORDER BY from_conv, from_turn) AS sources FROM o1 GROUP BY conv_id, turn),
+c AS (SELECT r, regexp_replace(coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (WHERE level = 0), ''), '^\n+|\n+$', '', 'g') AS clean_text FROM l GROUP BY r)
+SELECT m.conv_id, m.turn, m.role, rep.reply_to, tree.root AS thread_root, coalesce(tree.depth, 0) AS depth, coalesce(a.n_quoted, 0) AS n_quoted,
+       coalesce(a.n_linked, 0) AS n_linked, coalesce(a.deepest, 0) AS deepest, o.sources, c.clean_text
+FROM m JOIN c USING (r) LEFT JOIN rep ON rep.conv_id = m.conv_id AND rep.turn = m.turn LEFT JOIN tree ON tree.conv_id = m.conv_id AND tree.turn = m.turn
+LEFT JOIN a ON a.conv_id = m.conv_id AND a.turn = m.turn LEFT JOIN o ON o.conv_id = m.conv_id AND o.turn = m.turn"""
+
 _OP10 = f"""{_repeats(50)},
 {_kept(" AND c.later")},
 n AS (SELECT r, count(*) AS n_repeated, count(*) FILTER (WHERE later) AS n_removed FROM c GROUP BY r)
@@ -158,6 +191,7 @@ ORACLE_SQL = {
     "op5_substring_dedup": _OP5,
     "op6_jaccard_join": _OP6,
     "op6_jaccard_links": _OP6_LINKS,
+    "op7_quote_links": _OP7,
     "op10_suffix_dedup": _OP10,
     "op12_template_extraction": _OP12,
     "op13_source_divergence": _OP13,
