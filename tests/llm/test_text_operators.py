@@ -300,3 +300,82 @@ def test_language_id(spark, empty):
     assert language_id.identify(empty).count() == 0
     unlabelled = language_id.identify(docs.filter("lang is null")).collect()
     assert [r.lang_pred for r in unlabelled] == ["und"]
+
+
+def _kept_by_quality(rows):
+    """The base rule and the threshold table, from the words alone."""
+    kept = []
+    for d, t in rows:
+        w, seen = words(t), defaultdict(list)
+        lines = [x for x in (t or "").split("\n") if words(x)]
+        for j in range(len(w) - 7):
+            seen[tuple(w[j:j + 8])].append(j)
+        again = {p for at in seen.values() if len(at) > 1 for j in at for p in range(j, j + 8)}
+        if len(w) < 20 or 100 * len(again) > 30 * len(w):
+            continue
+        stop = sum(lower(x) in quality_rules.STOP_WORDS or x.lower() in quality_rules.STOP_WORDS for x in w)
+        if (1.5 <= sum(map(len, w)) / len(w) <= 25 and sum(c in "#*$%&|<>" for c in t) / len(w) <= 0.5 and stop / len(w) >= 0.02
+                and (len(lines) - len(set(lines))) / len(lines) <= 0.5):
+            kept.append((d, t))
+    return kept
+
+
+def _one_of_each_component(rows):
+    sets, root, _ = _components(rows)
+    chosen = {}
+    for i, (d, _) in enumerate(rows):
+        if sets[i]:
+            order = -(2**63) if d is None else d
+            if root[i] not in chosen or order < chosen[root[i]][0]:
+                chosen[root[i]] = (order, i)  # of rows of one id only exact copies share a component here
+    return [r for i, r in enumerate(rows) if not sets[i] or chosen[root[i]][1] == i]
+
+
+def _clean_of(rows, items):
+    windows = {tuple(w[j:j + 10]) for _, t in items for w in [words(lower(t), ALNUM)] for j in range(max(0, len(w) - 9) if len(w) >= 10 else bool(w))}
+    sizes = {len(k) for k in windows}
+
+    def hit(t):
+        w = words(lower(t), ALNUM)
+        return any(tuple(w[j:j + n]) in windows for n in sizes for j in range(len(w) - n + 1))
+    return [r for r in rows if not hit(r[1])]
+
+
+def test_pipeline_equals_the_brute_force_chain(spark, rows, tmp_path):
+    """Texts, pieces and ids of run(), not only which documents are left; copies under null and shared ids as well."""
+    import os
+    import sys
+
+    from tokenizers import Tokenizer
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    import corpus_pipeline as pipeline
+    good = [r for r in rows if len(words(r[1])) > 150]
+    header = " ".join(f"the head{i}" for i in range(40))
+    every = rows + [(None, good[0][1])] * 3 + [(None, good[1][1])] * 2 + [(901, good[2][1])] * 2 + [(None, f"{header} and body{i} of the text") for i in range(3)] \
+        + [(903, f"{header} and other{i} words of it") for i in range(2)]
+    items = [(1, " ".join((rows[12][1] or "").split()[:40])), (None, "no such passage anywhere"), (3, None)]
+    sf_dir = str(tmp_path)
+    spark.createDataFrame([(i, t, "en", "s", None) for i, t in every], "doc_id long, text string, lang string, source string, n_chars long").repartition(5).write.parquet(f"{sf_dir}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{sf_dir}/benchmark.parquet")
+    left = _one_of_each_component(_kept_by_quality(every))
+    texts, _, later = repeated(left, 50)
+    cut = [(d, " ".join(x for i, x in enumerate(w) if i not in gone) if gone else t) for (d, t), w, gone in zip(left, texts, later)]
+    assert any(later) and len(cut) < len(every)
+    clean = _clean_of(cut, items)
+    assert len(clean) < len(cut)
+    tokenizer, expected = Tokenizer.from_file(packing.default_tokenizer()), Counter()
+    for d, t in clean:
+        ids = tokenizer.encode(t, add_special_tokens=False).ids + [1]
+        for a in range(0, len(ids), 2048):
+            own = ids[a:a + 2048]
+            expected[(d, a, len(own), zlib.crc32(struct.pack(f"<{len(own)}I", *own)), len(ids))] += 1
+    assert Counter(tuple(r)[:5] for r in pipeline.run(spark, sf_dir).collect()) == expected
+
+
+def test_packing_spreads_equal_rows(spark):
+    """Rows of no id and one text fall into many blocks, so none ranks them alone."""
+    docs = spark.createDataFrame([(None, "")] * 1500 + [(None, "same text")] * 500, "doc_id long, text string").repartition(2)
+    blocks = packing.dealt(packing.pieces(docs, packing.default_tokenizer())).groupBy("kind", "salt").count().collect()
+    assert max(r["count"] for r in blocks) <= 2 * 1500 / packing.SALTS + 2
+    placed = packing.pack(docs).collect()
+    assert len(placed) == 2000 and len({(r.sequence_id, r.offset) for r in placed}) == 2000

@@ -34,6 +34,8 @@ CAPACITY = 2048
 UNIT = 8
 END_ID = 1
 SALTS = 128
+#: Blocks that the pieces that fill a sequence of their own are numbered in (the bulk of a corpus of long texts).
+WHOLE_SALTS = 16_384
 GAP = 1e-3
 PATIENCE = 60
 #: Words and word pieces whose ids one worker keeps at a time.
@@ -139,6 +141,7 @@ def _cut(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _word_ids.setdefault(path, None) or WordIds(path)
         _word_ids[path] = encoder
+        dealt = 0
         for batch in batches:
             doc, start, length, crc, total = [], [], [], [], []
             for words in words_of(batch.column("text")):
@@ -155,16 +158,26 @@ def _cut(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
                         crc.append(zlib.crc32(buffer[4 * a: 4 * b]))
                         total.append(end - begin)
                     begin = end
+            if not dealt and crc:
+                dealt = crc[0]  # tasks begin at different blocks
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(doc, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total))],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                [batch.column("doc_id").take(pa.array(doc, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total)),
+                 pa.array(np.arange(dealt, dealt + len(doc)))],
+                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "deal"])
+            dealt += len(doc)
     return run
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, start, length, ids_crc32 and doc_tokens of each piece."""
+    """doc_id, start, length, ids_crc32 and doc_tokens of each piece, and the number (deal) that a task gave it."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _cut(tokenizer, capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+        _cut(tokenizer, capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, deal long")
+
+
+def dealt(cut: DataFrame, capacity: int = CAPACITY, unit: int = UNIT, salts: int = SALTS) -> DataFrame:
+    """Written pieces with their length class (kind) and block (salt): dealt out in turn, so equal rows part as well."""
+    kind = F.when(F.col("length") == capacity, 0).otherwise(F.ceil(F.col("length") / unit)).cast("int")
+    return cut.withColumn("kind", kind).withColumn("salt", F.pmod("deal", F.when(F.col("kind") == 0, WHOLE_SALTS).otherwise(salts).cast("long")).cast("int")).drop("deal")
 
 
 def best_pattern(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -301,10 +314,9 @@ def _place(table: dict[int, tuple[np.ndarray, ...]], shift: int) -> Callable[[It
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, unit: int = UNIT, salts: int = SALTS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    cut = written(pieces(docs, tokenizer or default_tokenizer(), capacity), "pieces")
-    kind = F.when(F.col("length") == capacity, 0).otherwise(F.ceil(F.col("length") / unit)).cast("int")
-    cut = cut.withColumn("kind", kind).withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)).cast("int"))
-    # at most (classes x salts) rows, whatever the input
+    # the numbers that pieces were dealt are written with them, so both readings below agree on every piece's block
+    cut = dealt(written(pieces(docs, tokenizer or default_tokenizer(), capacity), "pieces"), capacity, unit, salts)
+    # at most (classes x salts + WHOLE_SALTS) rows, whatever the input
     blocks = sorted((r.kind, r.salt, r.n) for r in cut.groupBy("kind", "salt").agg(F.count("*").alias("n")).collect())
     histogram: dict[int, int] = {}
     before = []
