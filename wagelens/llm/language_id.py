@@ -5,7 +5,7 @@ holds only the count matrix, BUCKETS x languages, whose size does not depend on
 of log-probabilities is broadcast and each batch is scored as sparse rows: the n-grams of a document are the non-zero
 columns, whose matrix rows are gathered and added up per document in numpy.
 
-Training rows: a bounded sample of about ``TRAIN_ROWS`` labelled documents (chosen by a hash of doc_id, or all if there
+Training rows: a bounded sample of about ``TRAIN_ROWS`` labelled documents (chosen by a hash of doc_id and text, or all if there
 are fewer), never those of the held-out fold crc32(doc_id as text) mod 5 = 0.  All documents are scored, by whole text.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter, or if nothing was learned; a null doc_id is
@@ -121,7 +121,8 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     usable = docs.filter(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 0))
     if n > train_rows:
         share = int(SAMPLE_STEPS * train_rows / n)
-        usable = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_STEPS)) < share)
+        # by id and text: rows that share an id are drawn one by one
+        usable = usable.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SAMPLE_STEPS)) < share)
     counts = (usable.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
               .mapInArrow(_count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     table = counts.toPandas()
