@@ -16,7 +16,7 @@ def sides(spark):
     # a third of the rows under one key, some of them equal, and null keys
     big = spark.range(12_000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 97 == 1, F.lit(None)).otherwise(F.col("id") % 40).cast("int").alias("k"),
                                      (F.col("id") % 2000).alias("v")).repartition(6)
-    small = spark.range(45).select(F.explode(F.array(F.col("id"), F.col("id"))).cast("int").alias("k"), F.concat(F.lit("t"), "id").alias("t"))
+    small = spark.range(90).select((F.col("id") % 45).cast("int").alias("k"), F.concat(F.lit("t"), "id").alias("t"))
     return big, small
 
 
