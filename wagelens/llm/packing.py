@@ -33,6 +33,8 @@ from wagelens.llm.text_kernel import Words, words_of
 CAPACITY = 2048
 UNIT = 8
 END_ID = 1
+#: Bytes of text whose different words are looked up at once.
+WORD_CHUNK = 1_000_000
 SALTS = 128
 #: Blocks that the pieces that fill a sequence of their own are numbered in (the bulk of a corpus of long texts).
 WHOLE_SALTS = 16_384
@@ -128,10 +130,12 @@ class WordIds:
 def _same_bytes(words: Words, other: np.ndarray) -> bool:
     """Is every word of a chunk equal, byte by byte, to the word it is to be replaced by?"""
     size = words.end - words.start
-    if not np.array_equal(size, size[other]):
+    if not all(np.array_equal(x, x[other]) for x in (size, *words.first_bytes())):
         return False
+    long = np.flatnonzero(size > 16)
+    size, start, instead = size[long], words.start[long], words.start[other[long]]
     within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    return np.array_equal(words.data[np.repeat(words.start, size) + within], words.data[np.repeat(words.start[other], size) + within])
+    return np.array_equal(words.data[np.repeat(start, size) + within], words.data[np.repeat(instead, size) + within])
 
 
 _word_ids: dict[str, WordIds] = {}
@@ -144,7 +148,7 @@ def _cut(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
         dealt = 0
         for batch in batches:
             doc, start, length, crc, total = [], [], [], [], []
-            for words in words_of(batch.column("text")):
+            for words in words_of(batch.column("text"), chunk_bytes=WORD_CHUNK):
                 row = words.first
                 ids, ends = encoder.of(words)
                 buffer = memoryview(ids.astype("<u4")).cast("B")

@@ -118,12 +118,18 @@ class Words:
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(self.n_docs), self.counts)
 
-    def word_hashes(self) -> np.ndarray:
+    def first_bytes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's first and second 8 bytes as numbers."""
         size = self.end - self.start
         padded = np.concatenate([self.data, np.zeros(16, dtype=np.uint8)])
         eight = np.ndarray(len(self.data) + 9, dtype="<u8", buffer=padded, strides=(1,))  # the 8 bytes from every byte on
         low = eight[self.start] & _FIRST[np.minimum(size, 8)]
         high = eight[np.minimum(self.start + 8, len(self.data))] & _FIRST[np.clip(size - 8, 0, 8)]
+        return low, high
+
+    def word_hashes(self) -> np.ndarray:
+        size = self.end - self.start
+        low, high = self.first_bytes()
         h = mix(mix(low + _SALT) + high * _ODD + size.astype(np.uint64))
         long = np.flatnonzero(size > 16)
         if len(long):
