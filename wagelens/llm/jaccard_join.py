@@ -1,4 +1,6 @@
-"""N-gram Jaccard join by T-occurrence search (operator 6), in the DivideSkip manner.
+"""N-gram Jaccard join (operator 6): exact, by prefix lists with pivots and binary probes.
+
+Not DivideSkip: no short lists are heap-merged, no occurrences are counted and no long lists probed; see "Short lists".
 
 A document's set holds the hashes of its distinct 5-word shingles.  Two sets link when 9 * overlap >= 4 * (sum of
 sizes), that is Jaccard >= 0.8.  Equal sets form a class; everything below works on classes.
