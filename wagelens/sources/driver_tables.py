@@ -11,7 +11,10 @@ file after ``posexplode`` (see ``sources.landing``):
   and its position is computed from the label codes (no window needed).
 * A datum is one period of a series; its value aggregates every driver row of
   that series and period (hash aggregate with map-side partials, so a hot
-  series or period is combined before the shuffle).  Values are published on
+  series or period is combined before the shuffle).  Lines are summed up
+  by what their labels and periods depend on first, so that only those sums,
+  whose number is bounded by labels and months, are taken three times (one
+  datum candidate each for prices, unemployment and temporality).  Values are published on
   a binary-exact grid (whole euros, quarter points), as statistics offices
   publish rounded figures: every later sum is then exact and does not depend
   on the order in which partitions are combined.
@@ -124,7 +127,7 @@ def _lineitem_by_supplier_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_checked(li, sn, li.l_suppkey == sn.s_suppkey, bound=sup)
 
 
-# Each driver row contributes one datum candidate per source.  Only the label
+# Each driver row (or sum of rows, ``n`` of them) contributes one datum candidate per source.  Only the label
 # indices that define a series travel through the aggregate (so they never
 # split a series); names are built afterwards on the aggregated rows, keeping
 # the per-row work narrow and inside whole-stage codegen.
@@ -133,9 +136,9 @@ _LABELS = [("k_region", "int"), ("k_nation", "int"), ("k_sex", "int"), ("k_a", "
 _LABEL_CODES = [k for k, _ in _LABELS]
 
 
-def _contribution(code: Column, series_pos: Column, anyo: Column, fk: Column, x: Column, **labels) -> Column:
+def _contribution(code: Column, series_pos: Column, anyo: Column, fk: Column, x: Column, n: Column, **labels) -> Column:
     fields = [code.alias("code"), series_pos.cast("long").alias("series_pos"), anyo.alias("anyo"),
-              fk.alias("fk_periodo"), x.cast("double").alias("x")]
+              fk.alias("fk_periodo"), x.cast("double").alias("x"), n.cast("long").alias("n")]
     fields += [(labels[k] if k in labels else F.lit(None)).cast(t).alias(k) for k, t in _LABELS]
     return F.struct(*fields)
 
@@ -144,26 +147,33 @@ def _index_label(k: Column, labels: list[str], other: str) -> Column:
     return _map_label(k, dict(enumerate(labels)), other)
 
 
+def _lineitem_sums(rows: DataFrame) -> DataFrame:
+    """Quantities, discounts and counts by all that a line's labels and periods depend on (missing values included)."""
+    return (rows.groupBy("r_regionkey", "n_nationkey", F.pmod(F.col("l_suppkey"), F.lit(3)).alias("sex"), "l_returnflag", "l_linestatus",
+                         F.coalesce(F.col("l_tax") != 0, F.lit(False)).alias("taxed"), F.trunc("l_shipdate", "month").alias("month"))
+            .agg(F.sum("l_quantity").alias("quantity"), F.sum(F.round(F.col("l_discount") * 100, 0)).alias("discount"), F.count(F.lit(1)).alias("n")))
+
+
 def _lineitem_contributions() -> Column:
-    sex = F.pmod(F.col("l_suppkey"), F.lit(3))
+    sex = F.col("sex")
     nation = F.col("n_nationkey")
-    anyo = F.year("l_shipdate")
-    quarter_fk = F.quarter("l_shipdate") + QUARTER_BASE
+    anyo, n = F.year("month"), F.col("n")
+    quarter_fk = F.quarter("month") + QUARTER_BASE
     monthly = F.col("l_linestatus") == "O"
     category = _map_index(F.col("l_returnflag"), list(PRICE_CATEGORIES))
     age = _map_index(F.col("l_returnflag"), list(AGE_GROUPS))
     contract = _map_index(F.col("l_returnflag"), list(CONTRACTS))
-    time_idx = F.when(F.col("l_tax") != 0, _map_index(F.col("l_linestatus"), list(WORKING_TIME))).otherwise(F.lit(2))
+    time_idx = F.when(F.col("taxed"), _map_index(F.col("l_linestatus"), list(WORKING_TIME))).otherwise(F.lit(2))
     # no region (dangling key) -> no price candidate: code NULL, dropped after inline
     price_code = F.when(F.col("r_regionkey").isNotNull(),
                         F.when(monthly, F.lit(C.IPC)).otherwise(F.lit(C.IPV)))
     price = _contribution(price_code, F.col("r_regionkey") * 4 + category, anyo,
-                          F.when(monthly, F.month("l_shipdate")).otherwise(quarter_fk), F.col("l_quantity"),
+                          F.when(monthly, F.month("month")).otherwise(quarter_fk), F.col("quantity"), n,
                           k_region=F.col("r_regionkey"), k_a=category)
     paro = _contribution(F.lit(C.TASA_PARO), (nation * 3 + sex) * 4 + age, anyo, quarter_fk,
-                         F.round(F.col("l_discount") * 100, 0), k_nation=nation, k_sex=sex, k_a=age)
+                         F.col("discount"), n, k_nation=nation, k_sex=sex, k_a=age)
     temp = _contribution(F.lit(C.TEMPORALIDAD), ((nation * 3 + sex) * 2 + contract) * 4 + time_idx, anyo, quarter_fk,
-                         F.col("l_quantity"), k_nation=nation, k_sex=sex, k_a=contract, k_b=time_idx)
+                         F.col("quantity"), n, k_nation=nation, k_sex=sex, k_a=contract, k_b=time_idx)
     return F.array(price, paro, temp)
 
 
@@ -193,7 +203,7 @@ def _aggregate_contributions(exploded: DataFrame) -> DataFrame:
     the series position, so grouping by them does not split a series."""
     return (exploded.where(F.col("code").isNotNull())
             .groupBy("code", "series_pos", "anyo", "fk_periodo", *_LABEL_CODES)
-            .agg(F.sum("x").alias("sum_x"), F.count(F.lit(1)).alias("n_x")))
+            .agg(F.sum("x").alias("sum_x"), F.sum("n").alias("n_x")))
 
 
 def _finish(named: DataFrame, valor: Column) -> DataFrame:
@@ -207,12 +217,11 @@ def _finish(named: DataFrame, valor: Column) -> DataFrame:
 def lineitem_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IPC, IPV, unemployment and temporality payloads in one lineitem scan.
 
-    Each line contributes one datum candidate to three sources (``inline`` of
-    a 3-element array); one hash aggregate with map-side partials combines
-    them per (code, series, period).
+    Each sum of lines contributes one datum candidate to three sources (``inline`` of
+    a 3-element array); a second hash aggregate combines them per (code, series, period).
     """
-    rows = _lineitem_by_supplier_nation(spark, sf_dir)
-    agg = _aggregate_contributions(rows.select(F.inline(_lineitem_contributions())))
+    sums = _lineitem_sums(_lineitem_by_supplier_nation(spark, sf_dir))
+    agg = _aggregate_contributions(sums.select(F.inline(_lineitem_contributions())))
     return _finish(_lineitem_names(agg, sf_dir), _quarters(F.col("sum_x") / F.col("n_x")))
 
 
@@ -238,7 +247,7 @@ def _orders_contribution() -> Column:
                   .when(percentiles, (nation * 4 + sex) * 8 + pct)
                   .otherwise((nation * 8 + seg) * 2 + cost))
     fk = F.when(occupation | percentiles, F.lit(ANNUAL_CODE)).otherwise(F.quarter("o_orderdate") + QUARTER_BASE)
-    return _contribution(code, series_pos, F.year("o_orderdate"), fk, F.round(F.col("o_totalprice") * 100, 0),
+    return _contribution(code, series_pos, F.year("o_orderdate"), fk, F.round(F.col("o_totalprice") * 100, 0), F.lit(1),
                          k_nation=nation, k_sex=F.when(~(occupation | percentiles), F.lit(None)).otherwise(sex),
                          k_a=F.when(percentiles, pct).when(~occupation, cost),
                          k_text=F.when(~percentiles, F.col("c_mktsegment")))
@@ -265,7 +274,7 @@ def wage_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     cu = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     rows = join_checked(o, cu, o.o_custkey == cu.c_custkey)
-    agg = _aggregate_contributions(rows.select(F.inline(F.array(_orders_contribution()))))
+    agg = _aggregate_contributions(rows.select(_orders_contribution().alias("c")).select("c.*"))
     # whole euros: exact cents summed, mean rounded to the euro
     return _finish(_orders_names(agg, sf_dir), F.round(F.col("sum_x") / F.col("n_x") / 100, 0))
 
