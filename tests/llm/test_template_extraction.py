@@ -125,6 +125,30 @@ def test_classes_equal_brute_force(spark):
         assert found[f"h{h}.example"] == expected and len(expected) > 1
 
 
+def test_every_page_goes_through_the_template(monkeypatch):
+    """A page with an article is walked as any other, and its text comes from the slots."""
+    walked = []
+    walk = te.Template.walk
+    monkeypatch.setattr(te.Template, "walk", lambda self, page, *a: walked.append(page) or walk(self, page, *a))
+    template = te.Template([te.Page("<body><article></article><p></p></body>").tokens])
+    assert text("<body><article><h1>Title</h1></article><p>else</p></body>", template) == "Title"
+    assert text("<body><article></article><p>else</p></body>", template) == "else"
+    assert len(walked) == 2
+
+
+def test_menus_are_found_under_the_classes_that_stay(spark):
+    """A class that one page breaks is no class: its menu is one of the slot around it, on all pages, those with an article included."""
+    def page(i, article):
+        entry = ("<i></i>{}<b></b>" if i else "<b></b>{}<i></i>").format(f"<p><a href=x>{f'link {i}' if i else ''}</a></p>")
+        return f"<html><body><div id=m>{2 * entry}</div><div id=s>{article}</div></body></html>"
+    rows = [(i, f"http://a.example/{i}", page(i, f"<article>Marked {i}</article>" if i % 2 else f"<p>Plain {i}</p>")) for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    (found,) = te.templates(pages.withColumn("host", te.host_of(te.F.col("url")))).collect()
+    assert [] in found.classes and [m["class"] for m in found.menus] == [next(i for i, c in enumerate(found.classes) if c)]
+    got = {r.page_id: r.text for r in te.extract(pages).collect()}
+    assert got == {i: f"Marked {i}" if i % 2 else f"Plain {i}" for i in range(10)}
+
+
 def test_empty_table(spark):
     out = te.extract(spark.createDataFrame([], "page_id long, url string, html string"))
     assert out.columns == ["page_id", "url", "text", "n_chars"] and out.count() == 0
